@@ -123,7 +123,7 @@ def options(
     )
     search = base_orders(spark, directory).select("k", "d", "st", "dest")
     per_order = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    share = lines.agg(F.count(F.lit(1)) * hot_share).scalar()
+    share = per_order.agg(F.sum("n") * hot_share).scalar()
     hot = per_order.where((F.col("n") > hot_lines) & (F.col("n") > share)).select("k")
     digest = F.md5(F.concat_ws("-", "line", "pk", "sk").cast("binary"))
     position = [F.col("digest"), F.col("qty"), F.col("fare"), F.col("shipped")]

@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def two_proportion_z(event_a: Column, total_a: Column, event_b: Column, total_b: Column) -> Column:
@@ -18,17 +19,17 @@ def two_proportion_z(event_a: Column, total_a: Column, event_b: Column, total_b:
     return F.when(variance > 0, (a / n_a - b / n_b) / F.sqrt(F.nullif(variance, F.lit(0.0))))
 
 
-@F.pandas_udf("double")
-def _erfc(x: pd.Series) -> pd.Series:
-    return x.map(math.erfc, na_action="ignore")
-
-
 def two_sided_p(z: Column) -> Column:
     """Two-sided normal p-value. Spark SQL has no erfc, so this one runs as an Arrow UDF.
 
-    Meant for aggregated rows (one per comparison).
+    Meant for aggregated rows (one per comparison). The function is local, so it is shipped by
+    value and executors need not have this package installed.
     """
-    return _erfc(F.abs(z) / math.sqrt(2.0))
+
+    def erfc(x: pd.Series) -> pd.Series:
+        return x.map(math.erfc, na_action="ignore")
+
+    return F.pandas_udf(erfc, T.DoubleType())(F.abs(z) / math.sqrt(2.0))
 
 
 def cohen_h(rate_a: Column, rate_b: Column) -> Column:

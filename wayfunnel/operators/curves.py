@@ -72,7 +72,6 @@ def score_curve(counts: DataFrame, cells: int = CELLS) -> DataFrame:
 def ranked_buckets(
     scored: DataFrame,
     bucket_of: Callable[[Column, Column], Column],
-    max_buckets: int,
     score: str = "score",
     label: str = "label",
     key: str = "search_id",
@@ -80,10 +79,10 @@ def ranked_buckets(
     """(bucket, n, pos, score_sum) of rows ranked by score, highest first.
 
     ``bucket_of(rank, total)`` maps the 0-based rank to a bucket and must not decrease with the
-    rank. Rows that share a score are ranked by the md5 of their key, then the key. Only scores
-    whose ties cross a bucket boundary (fewer than ``max_buckets``) are resolved row by row; those
-    rows are spread over hash cells, so one score held by a third of all rows is ranked by
-    thousands of tasks. All other scores are bucketed from their counts.
+    rank; the number of buckets is a small constant. Rows that share a score are ranked by the md5
+    of their key, then the key. Only scores whose ties cross a bucket boundary are resolved row by
+    row; those rows are spread over hash cells, so one score held by a third of all rows is ranked
+    by thousands of tasks. All other scores are bucketed from their counts.
     """
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
     curve = score_curve(score_counts(scored, score, label)).withColumns(
@@ -100,14 +99,12 @@ def ranked_buckets(
         (F.col("score") * F.col("n")).alias("score_sum"),
     )
 
-    # Each of these scores holds at least one of the max_buckets - 1 boundaries; the limit
-    # states that bound, it never cuts.
-    split_scores = (
-        curve.where(F.col("first_bucket") < F.col("last_bucket"))
-        .select(F.col("score").alias("tied_score"), "first_rank", "total_n")
-        .limit(max_buckets)
+    # Each of these scores holds at least one boundary between buckets, so there are fewer of
+    # them than buckets, and their tie cells are at most 16 ** TIE_DIGITS per score.
+    split_scores = curve.where(F.col("first_bucket") < F.col("last_bucket")).select(
+        F.col("score").alias("tied_score"), "first_rank", "total_n"
     )
-    tie_hash = F.md5(F.col(key).cast("string").cast("binary"))
+    tie_hash = F.md5(F.col("key").cast("string").cast("binary"))
     tied = (
         scored.select(F.col(key).alias("key"), F.col(score).alias("score"), F.col(label).alias("y"))
         .join(F.broadcast(split_scores), F.col("score") == F.col("tied_score"))

@@ -141,7 +141,7 @@ def decile_analysis(
     scored: DataFrame, score: str = "score", label: str = "label", key: str = "search_id"
 ) -> DataFrame:
     """Rows, bookings, actual and mean predicted rate per score decile, highest scores first."""
-    buckets = ranked_buckets(scored, _quantile_cut(10), 10, score, label, key)
+    buckets = ranked_buckets(scored, _quantile_cut(10), score, label, key)
     actual, predicted = F.col("pos") / F.col("n"), F.col("score_sum") / F.col("n")
     return buckets.select(
         F.col("bucket").alias("decile"),
@@ -163,7 +163,7 @@ def top_decile_lift(
         size = F.greatest(F.floor(total * F.lit(0.10)), F.lit(1))
         return F.when(rank < size, 1).otherwise(2)
 
-    buckets = ranked_buckets(scored, in_top, 2, score, label, key)
+    buckets = ranked_buckets(scored, in_top, score, label, key)
     top = F.col("bucket") == 1
     sums = buckets.agg(
         (F.sum("pos") / F.sum("n")).alias("overall"),
