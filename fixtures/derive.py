@@ -95,9 +95,17 @@ def _min_quantity() -> Column:
     return F.when(scarce, 30.0).otherwise(10.0)
 
 
+def hot_orders(lines: DataFrame, min_lines: int, share: float) -> list[int]:
+    """Keys of the orders above both limits; there are at most 1/share of them."""
+    per_order = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    limit = per_order.agg(F.sum("n") * share).scalar()
+    hot = per_order.where((F.col("n") > min_lines) & (F.col("n") > limit)).select("k")
+    return [row["k"] for row in hot.collect()]
+
+
 def options(
-    spark: SparkSession,
-    directory: str,
+    lineitem: DataFrame,
+    base: DataFrame,
     hot_lines: int = HOT_LINES,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
@@ -107,45 +115,43 @@ def options(
     large share of the lines leave the main path: they are joined by broadcast (at most 1/share of
     them) and numbered inside md5-prefix cells plus the cells' offsets.
     """
-    lines = (
-        given(spark, directory, "lineitem")
-        .where(F.col("l_quantity") > 10.0)
-        .select(
-            F.col("l_orderkey").alias("k"),
-            F.col("l_partkey").alias("pk"),
-            F.col("l_suppkey").alias("sk"),
-            F.col("l_linenumber").alias("line"),
-            F.col("l_quantity").alias("qty"),
-            F.col("l_extendedprice").alias("fare"),
-            F.col("l_returnflag").alias("rf"),
-            F.col("l_shipdate").alias("shipped"),
-        )
+    lines = lineitem.where(F.col("l_quantity") > 10.0).select(
+        F.col("l_orderkey").alias("k"),
+        F.col("l_partkey").alias("pk"),
+        F.col("l_suppkey").alias("sk"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_extendedprice").alias("fare"),
+        F.col("l_returnflag").alias("rf"),
+        F.col("l_shipdate").alias("shipped"),
     )
-    search = base_orders(spark, directory).select("k", "d", "st", "dest")
-    per_order = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    share = per_order.agg(F.sum("n") * hot_share).scalar()
-    hot = per_order.where((F.col("n") > hot_lines) & (F.col("n") > share)).select("k")
+    search = base.select("k", "d", "st", "dest")
     digest = F.md5(F.concat_ws("-", "line", "pk", "sk").cast("binary"))
     position = [F.col("digest"), F.col("qty"), F.col("fare"), F.col("shipped")]
+    columns = ["k", "d", "st", "pk", "sk", "fare", "rf", "pos", "rc"]
 
     def qualifying(some_lines: DataFrame, some_searches: DataFrame) -> DataFrame:
         joined = some_lines.join(some_searches, "k")
         return joined.where(F.col("qty") > _min_quantity()).withColumn("digest", digest)
 
     whole = Window.partitionBy("k")
-    usual = qualifying(lines.join(F.broadcast(hot), "k", "left_anti"), search).withColumns(
+    hot = hot_orders(lines, hot_lines, hot_share)
+    usual = lines.where(~F.col("k").isin(hot)) if hot else lines
+    numbered = qualifying(usual, search).withColumns(
         {
-            "pos": F.row_number().over(whole.orderBy(*position)),
+            "pos": F.row_number().over(whole.orderBy(*position)).cast("bigint"),
             "rc": F.count(F.lit(1)).over(whole),
         }
     )
+    if not hot:
+        return numbered.select(*columns)
 
-    hot_searches = search.join(F.broadcast(hot), "k", "left_semi")
-    spread = qualifying(lines, F.broadcast(hot_searches)).withColumn(
+    hot_searches = search.where(F.col("k").isin(hot))
+    spread = qualifying(lines.where(F.col("k").isin(hot)), F.broadcast(hot_searches)).withColumn(
         "cell", F.substring("digest", 1, 2)
     )
-    cells = spread.groupBy("k", "cell").agg(F.count(F.lit(1)).alias("cell_n"))
     before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = spread.groupBy("k", "cell").agg(F.count(F.lit(1)).alias("cell_n"))
     offsets = cells.select(
         "k",
         "cell",
@@ -153,13 +159,12 @@ def options(
         F.sum("cell_n").over(whole).alias("rc"),
     )
     in_cell = Window.partitionBy("k", "cell").orderBy(*position)
-    numbered = (
+    spread_numbered = (
         spread.withColumn("in_cell", F.row_number().over(in_cell))
         .join(F.broadcast(offsets), ["k", "cell"])
         .withColumn("pos", F.col("offset") + F.col("in_cell"))
     )
-    columns = ["k", "d", "st", "pk", "sk", "fare", "rf", "pos", "rc"]
-    return usual.select(*columns).unionByName(numbered.select(*columns))
+    return numbered.select(*columns).unionByName(spread_numbered.select(*columns))
 
 
 def sessions(base: DataFrame) -> DataFrame:
@@ -335,7 +340,8 @@ class Journey:
 
     @property
     def options(self) -> DataFrame:
-        return self.area.table("options", lambda: options(self.spark, self.directory))
+        lineitem = given(self.spark, self.directory, "lineitem")
+        return self.area.table("options", lambda: options(lineitem, self.base))
 
     def raw(self, name: str) -> DataFrame:
         builders = {

@@ -49,34 +49,38 @@ def grouped_quantiles(
     wanted = F.explode(
         F.array(
             *[
-                F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("group_n") - 1)).alias("at"))
+                F.struct(
+                    F.lit(p).alias("probability"), (F.lit(p) * (F.col("group_n") - 1)).alias("at")
+                )
                 for p in probabilities
             ]
         )
     ).alias("wanted")
+    ends = F.array_distinct(F.array(F.floor("at"), F.ceil("at")))
     positions = (
         histogram.select(by, "cell", "cell_n", "below", wanted)
         .select(by, "cell", "cell_n", "below", "wanted.*")
-        .withColumn("position", F.explode(F.array(F.floor("at"), F.ceil("at"))))
+        .withColumn("position", F.explode(ends))
         .where(
             (F.col("position") >= F.col("below"))
             & (F.col("position") < F.col("below") + F.col("cell_n"))
         )
         .select(by, "cell", "below", "probability", "at", "position")
-        .distinct()
     )
 
     inside = (
-        Window.partitionBy(by, "cell")
+        Window.partitionBy(by, "probability", "position")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    needed = celled.join(
-        F.broadcast(positions.select(by, "cell").distinct()), [by, "cell"], "left_semi"
-    ).withColumn("up_to", F.sum("n").over(inside))
-    hits = needed.join(F.broadcast(positions), [by, "cell"]).where(
-        (F.col("position") < F.col("below") + F.col("up_to"))
-        & (F.col("position") >= F.col("below") + F.col("up_to") - F.col("n"))
+    up_to = F.col("below") + F.sum("n").over(inside)
+    hits = (
+        celled.join(F.broadcast(positions), [by, "cell"])
+        .withColumn("up_to", up_to)
+        .where(
+            (F.col("position") < F.col("up_to"))
+            & (F.col("position") >= F.col("up_to") - F.col("n"))
+        )
     )
     weight = F.max("at") - F.floor(F.max("at"))
     return hits.groupBy(by, "probability").agg(

@@ -6,11 +6,12 @@ mart that reads it gets column pruning and filter pushdown from Parquet.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,14 +30,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fingerprint(spark: SparkSession, directory: str, tables: list[str]) -> str:
-    """Changes when an input file changes: a hash over path, length and modification time.
+    """Changes when an input changes: a digest of path, modification time, bytes and file count.
 
-    ``binaryFile`` lists these as columns; the contents are pruned and not read.
+    Asks the file system that Spark uses, so it works for local and remote folders alike.
     """
-    paths = [f"{directory.rstrip('/')}/{name}.parquet" for name in tables]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    stamp = F.xxhash64("path", "length", "modificationTime")
-    return f"{files.agg(F.bit_xor(stamp).alias('stamp')).first()['stamp'] & (2**64 - 1):016x}"
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    digest = hashlib.md5()
+    for name in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(configuration)
+        summary = files.getContentSummary(path)
+        changed = files.getFileStatus(path).getModificationTime()
+        stamp = (path.toString(), changed, summary.getLength(), summary.getFileCount())
+        digest.update(repr(stamp).encode())
+    return digest.hexdigest()
 
 
 class WorkArea:
@@ -46,13 +53,15 @@ class WorkArea:
         self.spark = spark
         application = spark.sparkContext.applicationId
         self.root = f"{shared_folder(spark)}/wayfunnel-{application}/{key}"
-        self._written: set[str] = set()
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._written:
-            build().write.mode("overwrite").parquet(self.path(name))
-            self._written.add(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._schemas:
+            built = build()
+            built.write.mode("overwrite").parquet(self.path(name))
+            self._schemas[name] = built.schema
+        # with a schema the reader opens no footers for inference
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
