@@ -17,11 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    warehouse = tmp_path_factory.mktemp("warehouse")
-    import os
-
-    os.environ["BENCH_WAREHOUSE"] = str(warehouse)
+def spark():
     spark = session(8)
     yield spark
     spark.stop()

@@ -15,12 +15,23 @@ def create_layers(spark: SparkSession, prefix: str = "") -> None:
 
 
 def save_table(
-    frame: DataFrame, name: str, prefix: str = "", partition_by: Sequence[str] = ()
+    frame: DataFrame,
+    name: str,
+    prefix: str = "",
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
-    """Replace a managed Parquet table and return it as a table scan."""
+    """Replace a managed Parquet table and return it as a table scan.
+
+    ``partition_by`` a month prunes incident and date-range scans; ``bucket_by`` a join key lets
+    later joins of tables with the same buckets skip their shuffles.
+    """
     writer = frame.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        buckets, column = bucket_by
+        writer = writer.bucketBy(buckets, column).sortBy(column)
     writer.saveAsTable(prefix + name)
     return frame.sparkSession.table(prefix + name)
 
