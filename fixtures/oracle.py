@@ -198,7 +198,11 @@ _FAILURE_RATE = rate("sum(payment_failure_flag)", "sum(checkout_started_flag)")
 _CHECKOUT_CONVERSION = rate("sum(booked_flag)", "sum(checkout_started_flag)")
 _REVENUE = "round(sum(revenue), 2) as revenue"
 _LATENCY = "round(avg(search_latency_ms), 2) as avg_search_latency_ms"
-_ORDER_VALUE = "round(avg(revenue) filter (booked_flag = 1), 2) as average_order_value"
+# Sums of money are rounded to six digits before they are divided: no noise from summation order.
+_ORDER_VALUE = (
+    "round(round(sum(revenue) filter (booked_flag = 1), 6) / count(*) filter (booked_flag = 1), 2)"
+    " as average_order_value"
+)
 
 
 def _daily(keys: str) -> str:
@@ -664,7 +668,7 @@ from funnel group by device_type"""
 _CHANNEL = f"""
 select acquisition_channel, count(*) as searches, count(distinct session_id) as sessions,
   {total('booked_flag', 'bookings')}, {_REVENUE}, {_CONVERSION} as conversion_rate_pct,
-  round(sum(revenue) / count(distinct session_id), 2) as revenue_per_session
+  round(round(sum(revenue), 6) / count(distinct session_id), 2) as revenue_per_session
 from funnel group by acquisition_channel"""
 
 _ZERO = f"""
@@ -688,7 +692,7 @@ from (select unnest(['Zero-result searches', 'Checkout errors', 'Payment failure
           as issue_type,
         unnest([sum(zero_results_flag), sum(checkout_error_flag), sum(payment_failure_flag),
                 sum(checkout_abandoned_flag)])::bigint as affected_searches from funnel),
-     (select avg(total_revenue) as v from stg_bookings)"""
+     (select round(sum(total_revenue), 6) / count(*) as v from stg_bookings)"""
 
 _SEGMENT = f"""
 select device_type, customer_type, is_logged_in, count(*) as searches, {total('booked_flag', 'bookings')},
@@ -705,7 +709,7 @@ _DOCUMENTED = f"""
 select count(*) as sessions, {rate('sum(started)', 'count(*)')} as checkout_start_rate_pct,
   {rate('sum(completed)', 'sum(attempts)')} as checkout_completion_rate_pct,
   {rate('sum(1 - booked)', 'count(*)')} as funnel_abandonment_rate_pct,
-  round(sum(revenue) / count(*), 2) as revenue_per_session
+  round(round(sum(revenue), 6) / count(*), 2) as revenue_per_session
 from (select max(checkout_started_flag) as started, max(booked_flag) as booked,
         sum(checkout_started_flag) as attempts, sum(checkout_completed_flag) as completed,
         sum(revenue) as revenue from funnel group by session_id)"""

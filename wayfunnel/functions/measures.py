@@ -29,6 +29,14 @@ def pct(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.lit(100.0) * numerator / F.nullif(denominator, F.lit(0)), F.lit(0.0))
 
 
+def steady(money_total: Column) -> Column:
+    """A sum of doubles without the noise of its summation order, which tasks decide.
+
+    A quotient of it that ends in exactly half a cent then rounds the same way on every run.
+    """
+    return round_to(money_total, 6)
+
+
 def rows(alias: str) -> Column:
     return F.count(F.lit(1)).alias(alias)
 
@@ -38,5 +46,10 @@ def total(flag: str, alias: str) -> Column:
 
 
 def booked_revenue() -> Column:
-    """Revenue of booked rows, NULL elsewhere, so that AVG is the average order value."""
+    """Revenue of booked rows, NULL elsewhere."""
     return F.when(F.col("booked_flag") == 1, F.col("revenue"))
+
+
+def average(money: Column) -> Column:
+    """Mean of an amount over its non-NULL rows, from a steady sum."""
+    return ratio(steady(F.sum(money)), F.count(money))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfunnel.functions.measures import booked_revenue, round_to, rows
+from wayfunnel.functions.measures import average, booked_revenue, round_to, rows
 from wayfunnel.functions.stats import cohen_h, significant, two_proportion_z, two_sided_p
 from wayfunnel.operators.marts import flag_totals, rates
 from wayfunnel.settings import Incident
@@ -86,7 +86,7 @@ def incident_comparison(
             rows("searches"),
             *flag_totals(*comparison.counts),
             F.avg("search_latency_ms").alias("latency"),
-            F.avg(booked_revenue()).alias("order_value"),
+            average(booked_revenue()).alias("order_value"),
             F.sum("revenue").alias("revenue"),
         )
     )

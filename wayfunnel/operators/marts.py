@@ -12,7 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfunnel.functions.measures import booked_revenue, rate_pct, ratio, round_to, rows, total
+from wayfunnel.functions.measures import (
+    average,
+    booked_revenue,
+    rate_pct,
+    ratio,
+    round_to,
+    rows,
+    steady,
+    total,
+)
 
 # alias -> funnel flag
 FLAG_TOTALS = {
@@ -79,7 +88,7 @@ def kpi_summary(funnel: DataFrame) -> DataFrame:
         "sessions",
         *FLAG_TOTALS,
         _money("revenue", "total_revenue"),
-        round_to(ratio(F.col("order_value"), F.col("orders"))).alias("average_order_value"),
+        round_to(ratio(steady(F.col("order_value")), F.col("orders"))).alias("average_order_value"),
         *rates(
             "zero_result_rate_pct", "result_selection_rate_pct", "search_to_book_conversion_pct"
         ),
@@ -158,7 +167,7 @@ def channel_performance(funnel: DataFrame) -> DataFrame:
             "bookings",
             _money(),
             *rates("conversion_rate_pct"),
-            round_to(ratio(F.col("revenue"), F.col("sessions"))).alias("revenue_per_session"),
+            round_to(ratio(steady(F.col("revenue")), F.col("sessions"))).alias("revenue_per_session"),
         )
     )
 
@@ -243,7 +252,7 @@ def commercial_impact(funnel: DataFrame, bookings: DataFrame) -> DataFrame:
 
     One scan of the funnel for the four totals, unpivoted afterwards.
     """
-    order_value = bookings.agg(F.avg("total_revenue")).scalar()
+    order_value = bookings.agg(average(F.col("total_revenue"))).scalar()
     totals = funnel.agg(*flag_totals(*ISSUES.values())).withColumn("order_value", order_value)
     issues = F.array(
         *[
@@ -352,7 +361,7 @@ def documented_metrics(funnel: DataFrame) -> DataFrame:
         rate_pct(F.col("abandoned_sessions"), F.col("sessions")).alias(
             "funnel_abandonment_rate_pct"
         ),
-        round_to(ratio(F.col("revenue"), F.col("sessions"))).alias("revenue_per_session"),
+        round_to(ratio(steady(F.col("revenue")), F.col("sessions"))).alias("revenue_per_session"),
     )
 
 
