@@ -372,12 +372,7 @@ class Journey:
 
     @property
     def dataset(self) -> DataFrame:
-        return self.area.table(
-            "model_dataset",
-            lambda: features.model_dataset(
-                self.funnel, self.staged("searches"), self.staged("sessions")
-            ),
-        )
+        return self.area.table("model_dataset", lambda: features.model_rows(self.funnel))
 
 
 @lru_cache(maxsize=16)

@@ -792,6 +792,7 @@ from (select max(searched_at) filter (split = 'train') as a, min(searched_at) fi
     "checkout_impact": "select * from checkout_impact",
     "investigation_summary": _INVESTIGATION,
     "model_dataset": "select * from dataset",
+    "model_rows": "select * from dataset",
     "temporal_split": (
         "select split, count(*) as row_count, round(avg(booked_flag) * 100, 2) as booking_rate_pct"
         " from labelled group by split"

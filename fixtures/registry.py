@@ -303,6 +303,7 @@ def queries() -> dict[str, Query]:
         "model_dataset": _on(
             lambda j: features.model_dataset(j.funnel, j.staged("searches"), j.staged("sessions"))
         ),
+        "model_rows": _mart(features.model_rows),
         "temporal_split": _on(
             lambda j: features.split_profile(features.label_split(j.dataset, SPLIT))
         ),

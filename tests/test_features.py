@@ -189,6 +189,14 @@ def test_importance_finds_the_only_feature_that_counts(j):
     assert len(others) == 17 and max(map(abs, others)) < 1e-12
 
 
+def test_sample_is_the_lowest_hashes_exactly(j):
+    rows = j.dataset.select("search_id")
+    for size in (1, 50, 10_000):
+        taken = {r[0] for r in importance.sample_rows(rows, size, seed=3).collect()}
+        plain = rows.orderBy(importance._draw("search_id", 3), "search_id").limit(size)
+        assert taken == {r[0] for r in plain.collect()}
+
+
 def test_sample_does_not_depend_on_partitioning(j):
     first = importance.sample_rows(j.dataset, 50, seed=1).select("search_id").collect()
     again = importance.sample_rows(j.dataset.repartition(3), 50, seed=1)

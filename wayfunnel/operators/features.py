@@ -47,6 +47,26 @@ def model_dataset(funnel: DataFrame, searches: DataFrame, sessions: DataFrame) -
     )
 
 
+def model_rows(funnel: DataFrame) -> DataFrame:
+    """The same rows as ``model_dataset`` from a funnel whose build passed its checks.
+
+    Unique keys and no orphans make the joins no-ops, and the funnel carries every feature: a
+    projection of one scan, without a shuffle.
+    """
+    at = F.col("searched_at")
+    features = {name: F.col(name) for name in (*CATEGORICAL_FEATURES, *NUMERIC_FEATURES[:7])}
+    features["search_latency_ms"] = F.col("search_latency_ms").cast("double")
+    features["search_hour"] = F.hour(at)
+    features["day_of_week"] = F.dayofweek(at) - 1
+    features["search_month"] = F.month(at)
+    return funnel.select(
+        "search_id",
+        "searched_at",
+        F.col(TARGET).cast("int").alias(TARGET),
+        *[column.alias(name) for name, column in features.items()],
+    )
+
+
 def label_split(dataset: DataFrame, dates: SplitDates = SplitDates()) -> DataFrame:
     at = F.col("searched_at")
     return dataset.withColumn(

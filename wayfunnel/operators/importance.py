@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wayfunnel.settings import FEATURES, TARGET
 
 NOTHING = "(none)"
+PREFIX_DIGITS = 5  # 1,048,576 hash prefixes
 
 
 def _draw(key: str, *salt: object) -> Column:
@@ -17,8 +18,21 @@ def _draw(key: str, *salt: object) -> Column:
 
 
 def sample_rows(frame: DataFrame, size: int, seed: int, key: str = "search_id") -> DataFrame:
-    """The ``size`` rows with the lowest keyed hash: the same rows on every run and cluster."""
-    return frame.orderBy(_draw(key, seed), key).limit(size)
+    """The ``size`` rows with the lowest keyed hash: the same rows on every run and cluster.
+
+    A plain ordered limit would send ``size`` rows of every task to one task. So the hash prefixes
+    are counted first (at most 16 ** PREFIX_DIGITS of them) and only rows up to the prefix that
+    completes the sample take part in the sort.
+    """
+    hashed = frame.withColumn("_draw", _draw(key, seed))
+    prefix = F.substring("_draw", 1, PREFIX_DIGITS)
+    before = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    prefixes = hashed.groupBy(prefix.alias("prefix")).count()
+    needed = prefixes.withColumn("rank", F.coalesce(F.sum("count").over(before), F.lit(0))).where(
+        F.col("rank") < size
+    )
+    last = needed.agg(F.max("prefix")).scalar()
+    return hashed.where(prefix <= last).orderBy("_draw", key).limit(size).drop("_draw")
 
 
 def permuted_rows(sample: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:

@@ -436,12 +436,19 @@ REPORT_ORDER: dict[str, tuple[str, bool]] = {
     "supply_incident": ("period", True),
     "checkout_incident": ("period", True),
     "daily_anomaly_alerts": ("metric_date", True),
+    "anomaly_alert_days": ("metric_date", True),
 }
 
 
-def in_report_order(name: str, mart: DataFrame) -> DataFrame:
-    """Order a mart for reading, NULLs last in both directions."""
+def report_order(name: str) -> list[Column]:
+    """Sort columns of a mart, NULLs last in both directions; empty for unordered marts."""
     if name not in REPORT_ORDER:
-        return mart
+        return []
     column, ascending = REPORT_ORDER[name]
-    return mart.orderBy(F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column))
+    return [F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)]
+
+
+def in_report_order(name: str, mart: DataFrame) -> DataFrame:
+    """A mart ordered for reading."""
+    order = report_order(name)
+    return mart.orderBy(*order) if order else mart

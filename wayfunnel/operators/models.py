@@ -29,6 +29,7 @@ from wayfunnel.settings import (
     TARGET,
     ModelParams,
 )
+from wayfunnel.sources.workarea import ensure_checkpoints
 
 # Names of the candidates.
 PRIOR, LOGISTIC, BOOSTED = (
@@ -114,6 +115,7 @@ def fit_boosted(train: DataFrame, params: ModelParams = ModelParams()) -> Pipeli
     The category codes are plain numbers for the trees (the sum drops the nominal metadata), so
     the number of stations is not limited by ``max_bins``. Unseen values get the highest code.
     """
+    ensure_checkpoints(train.sparkSession)  # every tenth round cuts its lineage there
     boosting = params.boosting
     held_out = F.abs(F.xxhash64("search_id", F.lit(params.seed))) % 100 < boosting.holdout_percent
     codes = ", ".join(f"{name}_index + 0D AS {name}_code" for name in CATEGORICAL_FEATURES)
@@ -132,6 +134,7 @@ def fit_boosted(train: DataFrame, params: ModelParams = ModelParams()) -> Pipeli
         maxBins=boosting.max_bins,
         validationIndicatorCol="held_out",
         validationTol=boosting.validation_tolerance,
+        checkpointInterval=10,
         seed=params.seed,
     )
     stages = [_imputer(train), _indexer(), ordinal, features, classifier]

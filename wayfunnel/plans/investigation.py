@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfunnel.operators import alerts, incidents, marts
 from wayfunnel.settings import CHECKOUT_INCIDENT, SUPPLY_INCIDENT, Incident
@@ -31,17 +32,17 @@ def investigate(
 
     tables = {
         "overall_funnel": overall,
-        "segment_performance": marts.in_report_order(
-            "segment_performance", marts.segment_performance(funnel)
-        ),
-        "supply_incident_comparison": marts.in_report_order("supply_incident", supply_rows),
-        "checkout_incident_comparison": marts.in_report_order("checkout_incident", checkout_rows),
-        "anomaly_alert_days": alert_days.orderBy("metric_date"),
+        "segment_performance": marts.segment_performance(funnel),
+        "supply_incident": supply_rows,
+        "checkout_incident": checkout_rows,
+        "anomaly_alert_days": alert_days,
         "route_opportunities": marts.route_opportunities(routes),
     }
     base = report_directory.rstrip("/")
+    by_rate = [F.desc_nulls_last("zero_result_rate_pct"), F.desc("searches"), F.col("route")]
     for name, frame in tables.items():
-        exports.export_csv(frame, f"{base}/{name}.csv")
+        order = by_rate if name == "route_opportunities" else marts.report_order(name)
+        exports.export_csv(frame, f"{base}/{name}.csv", order)
     summary = incidents.investigation_summary(overall, supply_impact, checkout_impact, alert_days)
     exports.export_json(summary, f"{base}/investigation_summary.json")
     return {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wayfunnel.operators import evaluation, features, importance, models, quality, validation
 from wayfunnel.settings import FEATURES, TARGET, ModelParams, SplitDates
@@ -40,9 +41,7 @@ def train_and_evaluate(
     candidates = models.fit_candidates(train, params)
     comparison_path = f"{base}/model_comparison"
     models.model_comparison(candidates, holdout).write.mode("overwrite").parquet(comparison_path)
-    comparison = spark.read.parquet(comparison_path).orderBy(
-        "pr_auc", "roc_auc", ascending=[False, False]
-    )
+    comparison = spark.read.parquet(comparison_path)
     champion = models.refit(models.champion_name(comparison), train, holdout, params)
     model_path = f"{base}/model"
     models.save_model(champion.model, model_path)
@@ -64,15 +63,16 @@ def train_and_evaluate(
         "calibration": evaluation.calibration(predictions, **columns),
         "feature_importance": importance.permutation_importance(
             test, lambda rows: models.probability(champion.model, rows), seed=params.seed
-        ).orderBy("importance_mean", ascending=False),
+        ),
         "model_info": models.model_info(champion.name, metrics, best),
     }
-    for name in ("test_metrics", "threshold_analysis", "decile_analysis", "calibration"):
-        order = tables[name].columns[0]
-        ordered = tables[name] if name == "test_metrics" else tables[name].orderBy(order)
-        exports.export_csv(ordered, f"{base}/{name}.csv")
-    exports.export_csv(comparison, f"{base}/model_comparison.csv")
-    exports.export_csv(tables["feature_importance"], f"{base}/feature_importance.csv")
+    for name in ("threshold_analysis", "decile_analysis", "calibration"):
+        exports.export_csv(tables[name], f"{base}/{name}.csv", tables[name].columns[:1])
+    exports.export_csv(tables["test_metrics"], f"{base}/test_metrics.csv")
+    best_first = [F.desc("pr_auc"), F.desc("roc_auc")]
+    exports.export_csv(comparison, f"{base}/model_comparison.csv", best_first)
+    by_importance = [F.desc("importance_mean")]
+    exports.export_csv(tables["feature_importance"], f"{base}/feature_importance.csv", by_importance)
     exports.export_json(tables["model_info"], f"{base}/model_info.json")
     return ModellingResult(champion.name, model_path, best, comparison, predictions, tables)
 

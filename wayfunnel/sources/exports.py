@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 
 
 def export_marts(marts: dict[str, DataFrame], directory: str) -> dict[str, str]:
@@ -15,15 +17,21 @@ def export_marts(marts: dict[str, DataFrame], directory: str) -> dict[str, str]:
     return paths
 
 
-def export_csv(frame: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with a header. ``single_file`` is for aggregated tables of report size."""
-    out = frame.coalesce(1) if single_file else frame
+def export_csv(frame: DataFrame, path: str, order_by: Sequence[Column | str] = ()) -> None:
+    """One CSV file with a header, for aggregated tables of report size.
+
+    ``repartition`` keeps the stages before it parallel (``coalesce`` would run them in one task);
+    the few result rows are then sorted in place.
+    """
+    out = frame.repartition(1)
+    if order_by:
+        out = out.sortWithinPartitions(*order_by)
     out.write.option("header", True).mode("overwrite").csv(path)
 
 
 def export_json(frame: DataFrame, path: str) -> None:
     """Summary documents: one JSON object per row, NULLs kept."""
-    frame.coalesce(1).write.option("ignoreNullFields", False).mode("overwrite").json(path)
+    frame.repartition(1).write.option("ignoreNullFields", False).mode("overwrite").json(path)
 
 
 def export_predictions(predictions: DataFrame, path: str) -> None:

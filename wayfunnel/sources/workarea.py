@@ -29,6 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative jobs checkpoint into the shared folder, unless the session already does."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(spark))
+
+
 def fingerprint(spark: SparkSession, directory: str, tables: list[str]) -> str:
     """Changes when an input changes: a digest of path, modification time, bytes and file count.
 
