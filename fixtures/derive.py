@@ -9,7 +9,7 @@ checkout, completed checkout -> booking, nation -> station. Two incidents are pl
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from wayfunnel.operators import features, staging
 from wayfunnel.plans.warehouse import build_funnel
 from wayfunnel.settings import Incident, Period, Scope, SplitDates
+from wayfunnel.sources.together import run_together
 from wayfunnel.sources.workarea import WorkArea, fingerprint
 
 SUPPLY = Incident(
@@ -333,6 +334,7 @@ class Journey:
     def __init__(self, spark: SparkSession, directory: str, key: str):
         self.spark, self.directory = spark, directory
         self.area = WorkArea(spark, key)
+        self._prepared = False
 
     @property
     def base(self) -> DataFrame:
@@ -358,6 +360,10 @@ class Journey:
         return self.area.table(f"raw_{name}", builders[name])
 
     def raw_tables(self) -> dict[str, DataFrame]:
+        if not self._prepared:
+            self.options  # noqa: B018  (the others read it)
+            run_together(self.spark, {name: partial(self.raw, name) for name in staging.STAGERS})
+            self._prepared = True
         return {name: self.raw(name) for name in staging.STAGERS}
 
     def staged(self, name: str) -> DataFrame:

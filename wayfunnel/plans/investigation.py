@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfunnel.operators import alerts, incidents, marts
 from wayfunnel.settings import CHECKOUT_INCIDENT, SUPPLY_INCIDENT, Incident
 from wayfunnel.sources import exports, warehouse
+from wayfunnel.sources.together import run_together
 
 
 def investigate(
@@ -40,9 +43,12 @@ def investigate(
     }
     base = report_directory.rstrip("/")
     by_rate = [F.desc_nulls_last("zero_result_rate_pct"), F.desc("searches"), F.col("route")]
-    for name, frame in tables.items():
+
+    def write(name: str) -> None:
         order = by_rate if name == "route_opportunities" else marts.report_order(name)
-        exports.export_csv(frame, f"{base}/{name}.csv", order)
+        exports.export_csv(tables[name], f"{base}/{name}.csv", order)
+
+    run_together(spark, {name: partial(write, name) for name in tables})
     summary = incidents.investigation_summary(overall, supply_impact, checkout_impact, alert_days)
     exports.export_json(summary, f"{base}/investigation_summary.json")
     return {

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfunnel.operators import alerts, funnel, marts, quality, staging
 from wayfunnel.settings import AlertRule
 from wayfunnel.sources import exports, raw, warehouse
+from wayfunnel.sources.together import run_together
 
 
 @dataclass
@@ -84,9 +85,14 @@ def build_warehouse(
         "analytics.search_funnel": search_funnel,
         "analytics.daily_funnel": layers.daily_funnel,
     }
-    for name, mart in layers.named().items():
-        if name not in written:
-            written[name] = warehouse.save_table(mart, name, prefix)
+    remaining = {name: mart for name, mart in layers.named().items() if name not in written}
+    written |= run_together(
+        spark,
+        {
+            name: partial(warehouse.save_table, mart, name, prefix)
+            for name, mart in remaining.items()
+        },
+    )
     exports.export_marts(written, export_directory)
 
     summary = marts.warehouse_summary(

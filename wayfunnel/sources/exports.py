@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 
+from wayfunnel.sources.together import run_together
+
 
 def export_marts(marts: dict[str, DataFrame], directory: str) -> dict[str, str]:
     """Each ``layer.table`` to zstd Parquet under ``layer_table.parquet``; name to path."""
-    paths = {}
-    for name, frame in marts.items():
-        path = f"{directory.rstrip('/')}/{name.replace('.', '_')}.parquet"
-        frame.write.option("compression", "zstd").mode("overwrite").parquet(path)
-        paths[name] = path
+    paths = {
+        name: f"{directory.rstrip('/')}/{name.replace('.', '_')}.parquet" for name in marts
+    }
+
+    def write(name: str) -> None:
+        writer = marts[name].write.option("compression", "zstd").mode("overwrite")
+        writer.parquet(paths[name])
+
+    if marts:
+        spark = next(iter(marts.values())).sparkSession
+        run_together(spark, {name: partial(write, name) for name in marts})
     return paths
 
 
