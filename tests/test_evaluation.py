@@ -34,6 +34,7 @@ def samples(n=700, seed=3):
         ("few", few, labels),
         ("constant", np.full(n, 0.25), labels),
         ("bunched", 0.5 + spread * 1e-7, labels),
+        ("rare", spread * 1e-5, labels),
     ]
 
 
@@ -86,6 +87,19 @@ def test_metric_edge_cases(spark):
     assert [r["metric"] for r in rows] == list(e.METRICS)
 
 
+def test_cells_keep_the_order_of_scores_and_spread_rare_ones(spark):
+    from pyspark.sql import functions as F
+
+    from wayfunnel.operators.curves import CELLS, _cell
+
+    p = np.sort(np.concatenate([np.random.default_rng(5).random(2000) ** 6, [0.0, 1.0, 1e-300]]))
+    rows = spark.createDataFrame([(float(v),) for v in p], "score double")
+    cells = [r[0] for r in rows.select(_cell(F.col("score"), CELLS)).coalesce(1).collect()]
+    assert cells == sorted(cells) and min(cells) == 0 and max(cells) == CELLS - 1
+    rare = rows.where("score between 1e-6 and 1e-4").select(_cell(F.col("score"), CELLS))
+    assert rare.distinct().count() > 0.9 * rare.count() > 50
+
+
 def test_scores_outside_the_unit_interval_stay_exact(spark):
     p, y = np.array([-3.0, 7.0, 7.5, 0.5, 2.0, -9.0]), np.array([0, 1, 0, 1, 1, 0])
     curve = score_curve(score_counts(frame(spark, p, y))).orderBy("score").collect()

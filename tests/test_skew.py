@@ -122,3 +122,21 @@ def test_running_totals_do_not_depend_on_partitioning(j):
     first = evaluation.model_metrics(scored, label=TARGET).first()
     again = evaluation.model_metrics(scored.repartition(3), label=TARGET).first()
     assert first.asDict() == pytest.approx(again.asDict())
+
+
+@pytest.mark.parametrize(
+    "name,scans",
+    [
+        ("model_metrics", 1),
+        ("roc_curve", 1),
+        ("decile_analysis_tied", 3),
+        ("imputation_values", 2),
+        ("dq_model_dataset", 1),
+    ],
+)
+def test_inputs_are_scanned_once_per_level(spark, name, scans):
+    """Branches of one operator share their shuffles."""
+    from fixtures.registry import queries
+
+    plan = plan_of(queries()[name](spark, SF)).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= scans

@@ -3,8 +3,8 @@
 Every ranking metric needs "how many rows, and how many positives, score at least this high". A
 window without partitions would put all rows into one task. Instead rows are first counted per
 distinct score (combined map-side, so a score that a third of the rows share is one row), the
-distinct scores are laid over fixed cells of the unit interval, cell totals are accumulated over at
-most ``CELLS`` rows, and each cell finishes its own running totals in parallel.
+distinct scores are laid over fixed cells, cell totals are accumulated over at most ``CELLS`` rows,
+and each cell finishes its own running totals in parallel.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from wayfunnel.functions.measures import rows
 
 CELLS = 65_536
+LOG_ODDS = 16.0  # cells span log-odds of -16 to 16
 TIE_DIGITS = 3  # hex digits of the tie hash: 4,096 cells per tied score
 
 
@@ -27,15 +28,22 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
     )
 
 
+def _cell(score: Column, cells: int) -> Column:
+    """Cell of a score, equally wide in log-odds: scores of rare events crowd near 0 and still
+    spread over thousands of cells. Scores outside the open unit interval go to the edge cells."""
+    log_odds = F.log(score) - F.log1p(-score)
+    position = F.floor((log_odds + LOG_ODDS) / (2 * LOG_ODDS) * cells)
+    inside = F.greatest(F.least(position, F.lit(cells - 1)), F.lit(0))
+    return F.when(score <= 0, 0).when(score >= 1, cells - 1).otherwise(inside).cast("int")
+
+
 def score_curve(counts: DataFrame, cells: int = CELLS) -> DataFrame:
     """(score, n, pos, cum_n, cum_pos, total_n, total_pos), cumulative from the highest score down.
 
-    Scores outside [0, 1] fall into the edge cells: still exact, only less balanced. The broadcast
-    side has at most ``cells`` + 1 rows by construction.
+    The cells only balance the work; any scores give exact totals. The broadcast side has at most
+    ``cells`` rows by construction.
     """
-    position = F.floor(F.col("score") * cells)
-    cell = F.greatest(F.least(position, F.lit(cells)), F.lit(0)).cast("int")
-    celled = counts.withColumn("cell", cell)
+    celled = counts.withColumn("cell", _cell(F.col("score"), cells))
 
     higher = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
@@ -80,56 +88,66 @@ def ranked_buckets(
 
     ``bucket_of(rank, total)`` maps the 0-based rank to a bucket and must not decrease with the
     rank; the number of buckets is a small constant. Rows that share a score are ranked by the md5
-    of their key, then the key. Only scores whose ties cross a bucket boundary are resolved row by
-    row; those rows are spread over hash cells, so one score held by a third of all rows is ranked
-    by thousands of tasks. All other scores are bucketed from their counts.
+    of their key, then the key.
+
+    Three levels, each over what the one before left open: counts per distinct score; where the
+    ties of a score cross a bucket boundary, counts per score and hash cell; where a cell crosses
+    a boundary, its rows. Each boundary leaves one score and one cell open, so row-level sorting
+    sees a 4,096th of the tied rows even if all rows have the same score.
     """
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    curve = score_curve(score_counts(scored, score, label)).withColumns(
-        {
-            "first_rank": first,
-            "first_bucket": bucket_of(first, F.col("total_n")),
-            "last_bucket": bucket_of(last, F.col("total_n")),
-        }
+
+    def spread(rank: Column, size: Column) -> tuple[Column, Column]:
+        total = F.col("total_n")
+        return bucket_of(rank, total), bucket_of(rank + size - 1, total)
+
+    def bucketed(level: DataFrame) -> DataFrame:
+        return level.where(F.col("first_bucket") == F.col("last_bucket")).select(
+            F.col("first_bucket").alias("bucket"),
+            "n",
+            "pos",
+            (F.col("score") * F.col("n")).alias("score_sum"),
+        )
+
+    def open_parts(level: DataFrame) -> DataFrame:
+        return level.where(F.col("first_bucket") < F.col("last_bucket"))
+
+    # The tests on pos are always true. They keep the positives in both branches of a level, whose
+    # shuffles are then equal and reused instead of scanning the input once more.
+    positives = F.coalesce("pos", F.lit(0))
+    first = F.col("cum_n") - F.col("n")
+    low, high = spread(first, F.col("n"))
+    scores = (
+        score_curve(score_counts(scored, score, label))
+        .where(F.coalesce("total_pos", F.lit(0)) >= positives)
+        .withColumns({"first_rank": first, "first_bucket": low, "last_bucket": high})
     )
-    whole = curve.where(F.col("first_bucket") == F.col("last_bucket")).select(
-        F.col("first_bucket").alias("bucket"),
-        "n",
-        "pos",
-        (F.col("score") * F.col("n")).alias("score_sum"),
+    open_scores = open_parts(scores).select(
+        F.col("score").alias("open_score"), F.col("first_rank").alias("score_rank"), "total_n"
     )
 
-    # Each of these scores holds at least one boundary between buckets, so there are fewer of
-    # them than buckets, and their tie cells are at most 16 ** TIE_DIGITS per score.
-    split_scores = curve.where(F.col("first_bucket") < F.col("last_bucket")).select(
-        F.col("score").alias("tied_score"), "first_rank", "total_n"
-    )
-    tie_hash = F.md5(F.col("key").cast("string").cast("binary"))
+    key_hash = F.md5(F.col("key").cast("string").cast("binary"))
     tied = (
         scored.select(F.col(key).alias("key"), F.col(score).alias("score"), F.col(label).alias("y"))
-        .join(F.broadcast(split_scores), F.col("score") == F.col("tied_score"))
-        .select("key", "score", "y", "first_rank", "total_n", tie_hash.alias("hash"))
-        .withColumn("tie_cell", F.substring("hash", 1, TIE_DIGITS))
+        .join(F.broadcast(open_scores), F.col("score") == F.col("open_score"))
+        .withColumn("hash", key_hash)
+        .withColumn("cell", F.substring("hash", 1, TIE_DIGITS))
     )
-    before = (
-        Window.partitionBy("score")
-        .orderBy("tie_cell")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("score").orderBy("cell")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0))
+    cells = (
+        tied.groupBy("score", "cell", "score_rank", "total_n")
+        .agg(rows("n"), F.sum(F.col("y").cast("bigint")).alias("pos"))
+        .withColumn("cell_rank", F.col("score_rank") + offset)
     )
-    tie_offsets = (
-        tied.groupBy("score", "tie_cell")
-        .agg(rows("cell_n"))
-        .select(
-            "score",
-            "tie_cell",
-            F.coalesce(F.sum("cell_n").over(before), F.lit(0)).alias("tie_offset"),
-        )
-    )
-    in_cell = Window.partitionBy("score", "tie_cell").orderBy("hash", "key")
+    low, high = spread(F.col("cell_rank"), F.col("n"))
+    cells = cells.where(positives >= 0).withColumns({"first_bucket": low, "last_bucket": high})
+    open_cells = open_parts(cells).select("score", "cell", "cell_rank")
+
+    in_cell = Window.partitionBy("score", "cell").orderBy("hash", "key")
     resolved = (
-        tied.withColumn("in_cell", F.row_number().over(in_cell) - 1)
-        .join(F.broadcast(tie_offsets), ["score", "tie_cell"])
-        .withColumn("rank", F.col("first_rank") + F.col("tie_offset") + F.col("in_cell"))
+        tied.join(F.broadcast(open_cells), ["score", "cell"])
+        .withColumn("rank", F.col("cell_rank") + F.row_number().over(in_cell) - 1)
         .select(
             bucket_of(F.col("rank"), F.col("total_n")).alias("bucket"),
             F.lit(1).cast("bigint").alias("n"),
@@ -138,7 +156,9 @@ def ranked_buckets(
         )
     )
     return (
-        whole.unionByName(resolved)
+        bucketed(scores)
+        .unionByName(bucketed(cells))
+        .unionByName(resolved)
         .groupBy("bucket")
         .agg(*[F.sum(c).alias(c) for c in ("n", "pos", "score_sum")])
     )

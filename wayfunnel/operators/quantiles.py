@@ -1,8 +1,9 @@
 """Exact quantiles without sorting, or collecting the values of, a whole group.
 
 Spark's ``percentile`` gathers every distinct value of a group in one task. Here the values are
-counted, the counts are laid over equal-width cells, and only the cells that hold a wanted
-position are sorted.
+counted, the counts are laid over cells (equally wide in the logarithm of the distance from the
+lowest value, so that a long tail does not crowd the rest together), and only the cells that hold
+a wanted position are sorted.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def grouped_quantiles(
         F.max("value").alias("highest"),
         F.sum("n").alias("group_n"),
     )
-    width = F.nullif(F.col("highest") - F.col("lowest"), F.lit(0.0))
-    share = F.coalesce((F.col("value") - F.col("lowest")) / width, F.lit(0.0))
+    width = F.nullif(F.log1p(F.col("highest") - F.col("lowest")), F.lit(0.0))
+    share = F.coalesce(F.log1p(F.col("value") - F.col("lowest")) / width, F.lit(0.0))
     celled = counts.join(F.broadcast(spans), by).select(
         by, "value", "n", "group_n", F.floor(share * (cells - 1)).alias("cell")
     )
@@ -46,26 +47,17 @@ def grouped_quantiles(
         .agg(F.sum("n").alias("cell_n"))
         .withColumn("below", F.coalesce(F.sum("cell_n").over(before), F.lit(0)))
     )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(p).alias("probability"), (F.lit(p) * (F.col("group_n") - 1)).alias("at")
-                )
-                for p in probabilities
-            ]
-        )
-    ).alias("wanted")
-    ends = F.array_distinct(F.array(F.floor("at"), F.ceil("at")))
+    chances = F.explode(F.array(*map(F.lit, probabilities))).alias("probability")
+    at = F.col("probability") * (F.col("group_n") - 1)
+    ends = F.array_distinct(F.array(F.floor(at), F.ceil(at)))
     positions = (
-        histogram.select(by, "cell", "cell_n", "below", wanted)
-        .select(by, "cell", "cell_n", "below", "wanted.*")
+        histogram.select("*", chances)
         .withColumn("position", F.explode(ends))
         .where(
             (F.col("position") >= F.col("below"))
             & (F.col("position") < F.col("below") + F.col("cell_n"))
         )
-        .select(by, "cell", "below", "probability", "at", "position")
+        .select(by, "cell", "below", "probability", "position")
     )
 
     inside = (
@@ -82,7 +74,6 @@ def grouped_quantiles(
             & (F.col("position") >= F.col("up_to") - F.col("n"))
         )
     )
-    weight = F.max("at") - F.floor(F.max("at"))
     return hits.groupBy(by, "probability").agg(
-        _interpolate(F.min("value"), F.max("value"), weight).alias("quantile")
+        _interpolate(F.min("value"), F.max("value"), F.max(at - F.floor(at))).alias("quantile")
     )

@@ -111,7 +111,7 @@ class BoostingParams:
     max_depth: int = 5
     min_rows_per_leaf: int = 40
     max_bins: int = 256
-    validation_tolerance: float = 1e-4
+    validation_tolerance: float = 1e-7
     holdout_percent: int = 10
 
 
