@@ -17,23 +17,22 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; on a local master only, a new temporary one if unset."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    """The folder the session names. If it names none, one set earlier on the context or, on a
+    local master only, a new temporary one."""
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Let iterative jobs checkpoint into the shared folder, unless the session already does."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def fingerprint(spark: SparkSession, directory: str, tables: list[str]) -> str:
