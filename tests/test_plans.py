@@ -1,13 +1,14 @@
 """Whole stages on written inputs, read back from what they wrote."""
 
 import json
+import re
 
 import pytest
 from conftest import one
 from pyspark.sql import functions as F
 
 from fixtures.derive import CHECKOUT, SPLIT, SUPPLY, scoring_requests
-from wayfunnel.operators import evaluation, models, quality
+from wayfunnel.operators import evaluation, incidents, models, quality
 from wayfunnel.plans.investigation import investigate
 from wayfunnel.plans.modelling import score_batch, train_and_evaluate
 from wayfunnel.plans.warehouse import build_warehouse
@@ -99,11 +100,14 @@ def test_modelling_stage(spark, j, tmp_path):
 
 def test_saved_tables_can_be_partitioned_and_bucketed(spark, j):
     warehouse.create_layers(spark, PREFIX)
-    month = j.funnel.withColumn("search_month", F.date_format("search_date", "yyyy-MM"))
-    warehouse.save_table(month, "analytics.by_month", PREFIX, partition_by=["search_month"])
-    one_month = spark.table(PREFIX + "analytics.by_month").where("search_month = '1998-03'")
-    plan = one_month._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(search_month" in plan
+    quarter = j.funnel.where("search_date between '1998-01-01' and '1998-03-31'")
+    by_day = warehouse.save_table(quarter, "analytics.by_day", PREFIX, ["search_date"])
+    assert by_day.count() == quarter.count()
+    assert len(by_day.inputFiles()) == quarter.select("search_date").distinct().count()
+    compared = incidents.incident_comparison(by_day, SUPPLY, incidents.SUPPLY)
+    plan = compared._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[\(+search_date", plan)
+    assert "PushedFilters: [Or(EqualTo(origin_station,Hub A)" in plan
 
     for name, frame in (("searches", j.staged("searches")), ("sessions", j.staged("sessions"))):
         warehouse.save_table(frame, f"staging.{name}", PREFIX, bucket_by=(4, "session_id"))
@@ -125,7 +129,8 @@ def test_csv_export_has_one_file_and_a_header(spark, tmp_path):
 
 
 def test_work_area_follows_the_session_folder_and_input_changes(spark, tmp_path):
-    folder = spark.conf.get(workarea.CHECKPOINT_DIR)
+    folder = workarea.shared_folder(spark)
+    assert folder == spark.conf.get(workarea.CHECKPOINT_DIR, folder).rstrip("/")
     assert workarea.WorkArea(spark, "key").root.startswith(folder)
     spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
     before = workarea.fingerprint(spark, str(tmp_path), ["t"])

@@ -87,6 +87,19 @@ def test_contract_check(spark, small):
     assert (rows["bookings"]["duplicate_keys"], rows["bookings"]["row_count"]) == (2, 4)
     assert (rows["sessions"]["null_keys"], rows["sessions"]["duplicate_keys"]) == (1, 0)
     assert rows["searches"]["missing_columns"] == ""
+    found = quality.contract_violations(quality.contract_check(broken)).collect()
+    assert {tuple(r) for r in found} == {
+        ("checkout", "error_type", "missing column"),
+        ("checkout", "checkout_error_flag", "wrong type"),
+        ("bookings", "booking_id", "repeated key"),
+        ("sessions", "session_id", "NULL key"),
+    }
+    assert quality.contract_violations(quality.contract_check(small)).count() == 0
+    quality.enforce_columns(small)
+    with pytest.raises(quality.QualityError, match="checkout.error_type"):
+        quality.enforce_columns(broken)
+    with pytest.raises(quality.QualityError, match="bookings"):
+        quality.enforce_columns({n: f for n, f in small.items() if n != "bookings"})
 
 
 def test_model_dataset_and_split_checks(spark):

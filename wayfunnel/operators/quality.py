@@ -183,6 +183,46 @@ def contract_check(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def contract_violations(report: DataFrame) -> DataFrame:
+    """(table_name, column, problem) for everything a contract report finds wrong."""
+    kinds = {
+        "missing_columns": "missing column",
+        "mistyped_columns": "wrong type",
+    }
+    named = [
+        report.select(
+            "table_name",
+            F.explode(F.split(kind, ",")).alias("column"),
+            F.lit(problem).alias("problem"),
+        ).where(F.col("column") != "")
+        for kind, problem in kinds.items()
+    ]
+    keys = F.create_map(
+        *[part for t, d in CONTRACT.items() for part in (F.lit(t), F.lit(d.primary_key))]
+    )
+    counted = [
+        report.where(F.col(kind) > 0).select(
+            "table_name", keys[F.col("table_name")].alias("column"), F.lit(problem).alias("problem")
+        )
+        for kind, problem in (("null_keys", "NULL key"), ("duplicate_keys", "repeated key"))
+    ]
+    return reduce(DataFrame.unionByName, [*named, *counted])
+
+
+def enforce_columns(tables: dict[str, DataFrame]) -> None:
+    """Raise on absent tables or columns, from the schemas alone. Narrower types are cast later."""
+    problems = [name for name in CONTRACT if name not in tables]
+    problems += [
+        f"{name}.{column}"
+        for name, dataset in CONTRACT.items()
+        if name in tables
+        for column, _ in dataset.columns
+        if column not in tables[name].columns
+    ]
+    if problems:
+        raise QualityError(f"not in the inputs: {problems}")
+
+
 def require_columns(frame: DataFrame, columns: list[str], what: str) -> None:
     missing = [column for column in columns if column not in frame.columns]
     if missing:

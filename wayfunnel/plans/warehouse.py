@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property, partial
 
@@ -63,18 +64,22 @@ def build_warehouse(
     export_directory: str,
     prefix: str = "",
     rule: AlertRule = AlertRule(),
+    partition_funnel_by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Run the whole stage and return the written tables by name.
 
     The funnel and the daily funnel are written before anything reads them. Checks run before any
-    export and stop the build.
+    export and stop the build. For years of data pass ``partition_funnel_by=["search_date"]``.
     """
     tables = raw.read_raw(spark, raw_directory)
+    quality.enforce_columns(tables)
     raw.register_raw_views(tables)
     staged = staging.stage_all(tables)
     warehouse.create_layers(spark, prefix)
 
-    search_funnel = warehouse.save_table(build_funnel(staged), "analytics.search_funnel", prefix)
+    search_funnel = warehouse.save_table(
+        build_funnel(staged), "analytics.search_funnel", prefix, partition_funnel_by
+    )
     quality.run_checks(quality.dq_report(staged, search_funnel))
 
     layers = Marts(search_funnel, staged["bookings"], rule)

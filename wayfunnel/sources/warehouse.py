@@ -23,9 +23,13 @@ def save_table(
 ) -> DataFrame:
     """Replace a managed Parquet table and return it as a table scan.
 
-    ``partition_by`` a month prunes incident and date-range scans; ``bucket_by`` a join key lets
-    later joins of tables with the same buckets skip their shuffles.
+    ``partition_by`` the search date prunes incident and date-range scans; the rebalance before it
+    lets adaptive execution merge small and split large partitions, so that neither quiet days
+    leave tiny files nor a busy day one huge task. ``bucket_by`` a join key lets later joins of
+    tables with the same buckets skip their shuffles.
     """
+    if partition_by:
+        frame = frame.hint("rebalance", *partition_by)
     writer = frame.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
