@@ -34,10 +34,10 @@ SPLIT = SplitDates(datetime(1999, 1, 1), datetime(2000, 1, 1))
 
 GIVEN = ["orders", "lineitem", "customer", "nation", "region"]
 
-# An order with more lines than this, and more than a thousandth of all lines, is numbered by
-# many tasks. The share bounds the number of such orders to a thousand.
+# An order with more lines than this, and more than a ten-thousandth of all lines, is numbered by
+# many tasks. The share bounds the number of such orders to ten thousand.
 HOT_LINES = 1_000_000
-HOT_SHARE = 0.001
+HOT_SHARE = 0.0001
 
 
 def given(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -114,7 +114,8 @@ def options(
 
     The position is a row number per order, in the order of an md5 of the line. Orders that hold a
     large share of the lines leave the main path: they are joined by broadcast (at most 1/share of
-    them) and numbered inside md5-prefix cells plus the cells' offsets.
+    them) and numbered inside md5-prefix cells plus the cells' offsets, which are joined on the
+    partitioning that the numbering already has.
     """
     lines = lineitem.where(F.col("l_quantity") > 10.0).select(
         F.col("l_orderkey").alias("k"),
@@ -162,7 +163,7 @@ def options(
     in_cell = Window.partitionBy("k", "cell").orderBy(*position)
     spread_numbered = (
         spread.withColumn("in_cell", F.row_number().over(in_cell))
-        .join(F.broadcast(offsets), ["k", "cell"])
+        .join(offsets, ["k", "cell"])
         .withColumn("pos", F.col("offset") + F.col("in_cell"))
     )
     return numbered.select(*columns).unionByName(spread_numbered.select(*columns))
@@ -327,8 +328,8 @@ def station_reference(nations: DataFrame, regions: DataFrame) -> DataFrame:
 class Journey:
     """Raw, staged and derived tables of one data directory.
 
-    Raw tables, funnel and modelling rows are written once into the work area, as a warehouse
-    would; everything else stays lazy.
+    Raw tables and the funnel are written once into the work area, as a warehouse would;
+    everything else stays lazy.
     """
 
     def __init__(self, spark: SparkSession, directory: str, key: str):
@@ -378,7 +379,7 @@ class Journey:
 
     @property
     def dataset(self) -> DataFrame:
-        return self.area.table("model_dataset", lambda: features.model_rows(self.funnel))
+        return features.model_rows(self.funnel)
 
 
 @lru_cache(maxsize=16)

@@ -57,7 +57,7 @@ def test_logistic_solves_the_summed_loss_objective(parts, logistic):
     train, _, test = (part.toPandas() for part in parts)
     scored = models.probability(logistic, parts[2]).toPandas().set_index("search_id")["score"]
     expected = newton(train, test)
-    assert np.abs(scored.loc[test["search_id"]].to_numpy() - expected).max() < 2e-4
+    assert np.abs(scored.loc[test["search_id"]].to_numpy() - expected).max() < 2e-5
 
 
 def test_logistic_beats_the_prior_and_knows_empty_results(parts, logistic):

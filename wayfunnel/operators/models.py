@@ -104,6 +104,7 @@ def fit_logistic(train: DataFrame, params: ModelParams = ModelParams()) -> Pipel
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params.logistic_iterations,
+        tol=1e-8,
     )
     stages = [_imputer(train), _indexer(), encoder, numbers, scaler, features, classifier]
     return Pipeline(stages=stages).fit(train)
