@@ -116,8 +116,7 @@ from raw_searches"""
 TABLES["stg_results"] = "select * from raw_journey_results"
 
 TABLES["stg_checkout"] = """
-select * replace (checkout_started_at as checkout_started_at),
-  cast(checkout_started_at as date) as checkout_date from raw_checkout"""
+select *, cast(checkout_started_at as date) as checkout_date from raw_checkout"""
 
 TABLES["stg_bookings"] = "select *, cast(booked_at as date) as booking_date from raw_bookings"
 
@@ -461,8 +460,10 @@ select bin, {r6('avg(score)')} as mean_predicted_probability, {r6('avg(booked_fl
 from (select score, booked_flag, list_sum([(e < score)::int for e in edges])::int as bin
       from {source}, (
         select [case when h - floor(h) >= 0.5
-                     then s[ceil(h)::bigint + 1] - (s[ceil(h)::bigint + 1] - s[floor(h)::bigint + 1]) * (1 - (h - floor(h)))
-                     else s[floor(h)::bigint + 1] + (s[ceil(h)::bigint + 1] - s[floor(h)::bigint + 1]) * (h - floor(h)) end
+                     then s[ceil(h)::bigint + 1]
+                          - (s[ceil(h)::bigint + 1] - s[floor(h)::bigint + 1]) * (1 - (h - floor(h)))
+                     else s[floor(h)::bigint + 1]
+                          + (s[ceil(h)::bigint + 1] - s[floor(h)::bigint + 1]) * (h - floor(h)) end
                 for h in [n * 0.1e0 * 100 / 100 * (len(s) - 1) for n in range(1, 10)]] as edges
         from (select list(score order by score) as s from {source})))
 group by bin"""

@@ -83,6 +83,18 @@ def test_unseen_and_missing_values_are_scored(parts, logistic):
     assert len(scores) == 20 and all(0 < s < 1 for s in scores)
 
 
+def test_fill_values_may_contain_quotes(parts):
+    name = "St. John's \\ \"North\""
+    train = parts[0].withColumn("origin_station", F.lit(name))
+    rows = parts[2].limit(1).withColumns(
+        {"origin_station": F.lit(None).cast("string"), "results_count": F.lit(None).cast("int")}
+    )
+    filled = models._imputer(train).transform(rows).first()
+    assert filled["origin_station_filled"] == name
+    median = np.median([r[0] for r in train.select("results_count").collect()])
+    assert filled["results_count_filled"] == median
+
+
 def test_prior_is_the_training_rate(parts):
     rate = one(parts[0].agg(F.avg(TARGET).alias("rate")))["rate"]
     lazy = models.prior_scores(parts[0], parts[1]).select("score").distinct().collect()
