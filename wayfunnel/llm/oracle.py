@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wayfunnel.llm.licences import TEMPLATES
+
 # As in mixing: md5 digits to a number in [0, 1), and the Poisson sums that it reaches.
 MIXING = """
 WITH sizes AS (
@@ -38,5 +40,97 @@ FROM copied
 """
 
 
+# Base phrases by word number, templates by the share of their distinct words in a line.
+LICENCES = r"""
+WITH lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), worded AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+), phrases(label, p) AS (
+  VALUES ('cc-by', ['cc', 'by']), ('gpl', ['general', 'public', 'license']),
+         ('reserved', ['all', 'rights', 'reserved'])
+), numbered AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), places AS (
+  SELECT doc_id, i - 1 AS word, label
+  FROM numbered JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word,
+         list(DISTINCT label) AS labels
+  FROM places GROUP BY doc_id
+), templates(label, text) AS (
+  VALUES TEMPLATES
+), tokens AS (
+  SELECT label, list_distinct(string_split(text, ' ')) AS t FROM templates
+), lines AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM lowered
+), sets AS (
+  SELECT doc_id,
+         list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS s
+  FROM lines
+), found AS (
+  SELECT doc_id, label, len(list_intersect(t, s))::DOUBLE / len(t) AS share
+  FROM sets, tokens WHERE len(list_intersect(t, s)) >= 0.8 * len(t)
+), matched AS (
+  SELECT doc_id, max(share) AS share, list(DISTINCT label) AS labels FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '')
+    AS labels,
+  CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.share, 0.0) END AS score
+FROM worded d LEFT JOIN base b USING (doc_id) LEFT JOIN matched m USING (doc_id)
+""".replace("TEMPLATES", ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES))
+
+# SHA-1 of the payload from hexadecimal to base32, five digits at a time.
+WARC = """
+WITH bodies AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), digests AS (
+  SELECT page_id, strlen(body) AS n, to_base(('0x' || substr(sha1(body), 1, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 6, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 11, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 16, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 21, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 26, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 31, 5))::BIGINT, 32, 4)
+    || to_base(('0x' || substr(sha1(body), 36, 5))::BIGINT, 32, 4) AS digits
+  FROM bodies
+), firsts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digits, n) AS first_id FROM digests
+)
+SELECT page_id, n AS payload_bytes,
+  translate(digits, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')
+    AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts
+"""
+
+TOP_K = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": MIXING}
+    return {
+        "op4_licences": LICENCES,
+        "op5_mixing": MIXING,
+        "op9_warc": WARC,
+        "op10_top_k": TOP_K,
+    }

@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfunnel.llm import language, mixing, near_duplicates, packing, quality, token_counts
-from wayfunnel.llm.common import crc_of_id, table
+from wayfunnel.llm import (
+    language,
+    licences,
+    mixing,
+    near_duplicates,
+    nearest,
+    packing,
+    quality,
+    token_counts,
+    top_k,
+    warc,
+)
+from wayfunnel.llm.common import crc_of_id, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +52,11 @@ def op3_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(table(spark, directory, "documents"), pack_tokens())
 
 
+def op4_licences(spark: SparkSession, directory: str) -> DataFrame:
+    scanned = licences.scan(table(spark, directory, "documents"), carry=["doc_id"])
+    return licences.summary(scanned, ["doc_id"])
+
+
 def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
     return mixing.mix(documents, mixing.source_rates(documents))
@@ -63,12 +79,32 @@ def op7_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return near_duplicates.find_near_duplicates(table(spark, directory, "documents"))
 
 
+def op8_nearest(spark: SparkSession, directory: str) -> DataFrame:
+    return nearest.nearest(table(spark, directory, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op9_warc(spark: SparkSession, directory: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write_archives(table(spark, directory, "pages"), path, least_bytes=0)
+    return warc.read_archives(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op10_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    return top_k.top_k(table(spark, directory, "embeddings"), F.col("id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_language": op2_language,
         "op3_packing": op3_packing,
+        "op4_licences": op4_licences,
         "op5_mixing": op5_mixing,
         "op6_quality": op6_quality,
         "op7_near_duplicates": op7_near_duplicates,
+        "op8_nearest": op8_nearest,
+        "op9_warc": op9_warc,
+        "op10_top_k": op10_top_k,
     }
