@@ -1,10 +1,12 @@
 """Exact top-k by inner product with a uniform threshold in three phases.
 
-Vectors of whole numbers are cut into a few lists of components. Each list knows its share of every
-score. First, each list reports its best shares per query; they bound the k-th best score from
-below. A row that reaches the bound must have, in at least one list, a share above that list's
-cutoff, so second, each list reports all shares above it. Bounds on what is still unknown leave few
-rows, whose scores are third computed in full.
+Vectors of whole numbers are cut into a few lists of components; each list knows its share of every
+score. First, each list reports the rows with its best shares per query, and its smallest share;
+the k-th best full score among the reported rows bounds the answer from below. A row that reaches
+the bound has, in at least one list, a share that reaches that list's cutoff: the smallest share
+plus an even part of the bound's excess over all smallest shares. So second, the cutoffs go out and
+each list collects the rows that reach its own. Third, the scores of these are completed by the
+other lists, and the best of each block go on to the merge.
 """
 
 from __future__ import annotations
@@ -44,71 +46,69 @@ def _shares(rows: dict, queries: dict, part: slice, start: int, stop: int) -> np
     return shares
 
 
-def _best(k: int, lists: int):
-    """Phase one: of each list and query the k largest shares, and the smallest of all."""
+def _chunks(rows: dict, queries: dict, lists: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Some queries at a time: the first one's number and the shares of each list."""
+    parts = _parts(rows["vector"].shape[1], lists)
+    for start in range(0, len(queries["row"]), 256):
+        yield start, [_shares(rows, queries, part, start, start + 256) for part in parts]
 
-    def work(rows: dict, queries: dict) -> Iterator[pd.DataFrame]:
-        for part, columns in enumerate(_parts(rows["vector"].shape[1], lists)):
-            for start in range(0, len(queries["row"]), 256):
-                shares = _shares(rows, queries, columns, start, start + 256)
-                lowest = np.nanmin(np.append(shares, np.full((len(shares), 1), np.inf), axis=1), axis=1)
-                known = np.where(np.isnan(shares), -np.inf, shares)
-                n = min(k, known.shape[1])
-                best = np.argpartition(-known, n - 1, axis=1)[:, :n]
-                value = np.take_along_axis(known, best, axis=1)
-                query = np.repeat(np.arange(len(shares)), n)
-                real = value.ravel() > -np.inf
-                yield pd.DataFrame(
-                    {
-                        "query_row": queries["row"][start + query[real]],
-                        "list": part,
-                        "row": rows["row"][best.ravel()[real]],
-                        "share": value.ravel()[real].astype(np.int64),
-                        "lowest": lowest[query[real]].astype(np.int64),
-                    }
-                )
-
-    return work
 
-
-def _above(lists: int):
-    """Phase two: all shares that reach the cutoff of their list and query."""
+def _best(depth: int, lists: int):
+    """Phase one: of each list and query the smallest share, and the full scores of the rows with
+    the `depth` largest."""
 
     def work(rows: dict, queries: dict) -> Iterator[pd.DataFrame]:
-        for part, columns in enumerate(_parts(rows["vector"].shape[1], lists)):
-            for start in range(0, len(queries["row"]), 256):
-                shares = _shares(rows, queries, columns, start, start + 256)
-                with np.errstate(invalid="ignore"):
-                    query, place = np.nonzero(shares >= queries["cutoff"][start : start + 256, part, None])
+        for start, shares in _chunks(rows, queries, lists):
+            for part, one in enumerate(shares):
+                known = np.where(np.isnan(one), -np.inf, one)
+                lowest = np.where(np.isnan(one), np.inf, one).min(axis=1)
+                n = min(depth, known.shape[1])
+                best = np.argpartition(-known, n - 1, axis=1)[:, :n]
+                query = np.repeat(np.arange(len(one)), n)
+                place = best.ravel()
+                real = known[query, place] > -np.inf
+                query, place = query[real], place[real]
+                score = sum(other[query, place] for other in shares)
                 yield pd.DataFrame(
                     {
                         "query_row": queries["row"][start + query],
                         "list": part,
                         "row": rows["row"][place],
-                        "share": shares[query, place].astype(np.int64),
+                        "score": score.astype(np.int64),
+                        "lowest": lowest[query].astype(np.int64),
                     }
                 )
 
     return work
 
 
-def _kth(bounds: DataFrame, k: int, name: str) -> DataFrame:
-    """The k-th largest lower bound of each query; none where there are fewer rows."""
-    order = Window.partitionBy("query_row").orderBy(F.desc("lower"), "row")
-    ranked = bounds.withColumn("_n", F.row_number().over(order))
-    return ranked.where(F.col("_n") == k).select("query_row", F.col("lower").alias(name))
+def _above(k: int, lists: int):
+    """Phases two and three: rows that reach the cutoff of some list, their scores in full, and of
+    these the k best of the block."""
 
+    def work(rows: dict, queries: dict) -> Iterator[pd.DataFrame]:
+        for start, shares in _chunks(rows, queries, lists):
+            cutoff = queries["cutoff"][start : start + 256]
+            reached = np.zeros(shares[0].shape, bool)
+            for part, one in enumerate(shares):
+                with np.errstate(invalid="ignore"):
+                    reached |= one >= cutoff[:, part, None]
+            query, place = np.nonzero(reached)
+            score = sum(one[query, place] for one in shares).astype(np.int64)
+            order = np.lexsort((rows["id"][place], -score, query))
+            query, place, score = query[order], place[order], score[order]
+            first = np.searchsorted(query, query, side="left")
+            best = np.arange(len(query)) - first < k
+            yield pd.DataFrame(
+                {
+                    "query_row": queries["row"][start + query[best]],
+                    "query_id": queries["id"][start + query[best]],
+                    "vec_id": rows["id"][place[best]],
+                    "score": score[best],
+                }
+            )
 
-def _lower(shares: DataFrame, lows: DataFrame) -> DataFrame:
-    """(query_row, row, lower, seen): shares seen, and for other lists the smallest there is."""
-    joined = shares.join(lows, ["query_row", "list"])
-    total = lows.groupBy("query_row").agg(F.sum("lowest").alias("all_lowest"))
-    summed = joined.groupBy("query_row", "row").agg(
-        F.sum(F.col("share") - F.col("lowest")).alias("above"),
-        F.collect_set("list").alias("seen"),
-        F.sum("share").alias("shares"),
-    )
-    return summed.join(total, "query_row").withColumn("lower", F.col("above") + F.col("all_lowest"))
+    return work
 
 
 def _pack_queries(part: pd.DataFrame) -> bytes:
@@ -125,6 +125,7 @@ def top_k(
     k: int = 5,
     factor: int = 256,
     lists: int = 2,
+    depth: int = 20,
     block: int = 8192,
     queries: int = 1024,
 ) -> DataFrame:
@@ -133,7 +134,8 @@ def top_k(
     smaller id; all rows if there are fewer.
 
     Vectors that are null or hold a null or a number that is not finite take no part, nor do rows
-    with a null id. Rows that share a vector or an id are rows of their own.
+    with a null id. Rows that share a vector or an id are rows of their own. depth is how many rows
+    each list of a block reports first; more of them make the bound, not the answer, better.
     """
     vectors = usable(rows.where(F.col(key).isNotNull()), key, vector, zero=True)
     vectors = whole_numbers(vectors, factor)
@@ -146,60 +148,35 @@ def top_k(
     first = meet(
         row_blocks,
         blocks(asked, queries, pack),
-        _best(k, lists),
-        "query_row long, list int, row long, share long, lowest long",
+        _best(depth, lists),
+        "query_row long, list int, row long, score long, lowest long",
     )
-    first = written(first, "best_shares")
-    lows = written(
-        first.groupBy("query_row", "list").agg(F.min("lowest").alias("lowest")), "lowest_shares"
+    first = written(first, "local_lists")
+    place = Window.partitionBy("query_row").orderBy(F.desc("score"), "row")
+    scores = first.select("query_row", "row", "score").distinct()
+    bound = (
+        scores.withColumn("n", F.row_number().over(place))
+        .where(F.col("n") == k)
+        .select("query_row", F.col("score").alias("bound"))
     )
-    bound = _kth(_lower(first.select("query_row", "list", "row", "share"), lows), k, "bound")
-    # the excess over all smallest shares, dealt evenly to the lists
-    sums = lows.groupBy("query_row").agg(
+    lows = first.groupBy("query_row", "list").agg(F.min("lowest").alias("lowest"))
+    by_query = lows.groupBy("query_row").agg(
         F.sum("lowest").alias("all_lowest"),
-        F.count("*").alias("n"),
-        F.array_sort(F.collect_list(F.struct("list", "lowest"))).alias("by_list"),
+        F.array_sort(F.collect_list(F.struct("list", "lowest"))).alias("lists"),
     )
-    even = (F.col("bound") - F.col("all_lowest")) / F.col("n")
-    cutoffs = sums.join(bound, "query_row", "left").select(
+    even = (F.col("bound") - F.col("all_lowest")) / F.size("lists")
+    # with fewer than k rows everything is wanted
+    cutoffs = by_query.join(bound, "query_row", "left").select(
         F.col("query_row").alias("row"),
         F.transform(
-            "by_list", lambda x: F.coalesce(x["lowest"] + even, F.lit(float("-inf")))
+            "lists", lambda x: F.coalesce(x["lowest"] + even, F.lit(float("-inf")))
         ).alias("cutoff"),
     )
-    cutoffs = written(cutoffs, "cutoffs")
-    second = meet(
+    scored = meet(
         row_blocks,
         blocks(asked.join(cutoffs, "row"), queries, _pack_queries),
-        _above(lists),
-        "query_row long, list int, row long, share long",
-    )
-    second = written(second, "shares")
-    bounds = _lower(second, lows)
-    cut = cutoffs.select(F.col("row").alias("query_row"), "cutoff")
-    unseen = F.aggregate(
-        F.array_except(F.sequence(F.lit(0), F.size("cutoff") - 1), "seen"),
-        F.lit(0.0),
-        lambda total, i: total + F.get("cutoff", i),
-    )
-    bounds = bounds.join(cut, "query_row").withColumn("upper", F.col("shares") + unseen)
-    bounds = written(bounds.select("query_row", "row", "lower", "upper"), "bounds")
-    second_bound = _kth(bounds, k, "least")
-    left = bounds.join(second_bound, "query_row", "left").where(
-        F.col("least").isNull() | (F.col("upper") >= F.col("least"))
-    )
-    side = vectors.select("row", F.col("id").alias("vec_id"), F.col("vector").alias("v"))
-    asking = asked.select(
-        F.col("row").alias("query_row"), F.col("id").alias("query_id"), F.col("vector").alias("w")
-    )
-    product = F.aggregate(
-        F.zip_with("v", "w", lambda a, b: a * b), F.lit(0).cast("long"), lambda total, x: total + x
-    )
-    scored = (
-        left.select("query_row", "row")
-        .join(side, "row")
-        .join(asking, "query_row")
-        .select("query_row", "query_id", "vec_id", product.alias("score"))
+        _above(k, lists),
+        "query_row long, query_id long, vec_id long, score long",
     )
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
