@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfunnel.llm.common import written
 
@@ -70,26 +71,28 @@ def meet(
 ) -> DataFrame:
     """What work makes of every block of rows with every block of queries; a task holds one of
     each at a time."""
-    numbers = [
-        [r["block"] for r in side.select("block").collect()] for side in (row_blocks, query_blocks)
-    ]
+    last = [side.agg(F.max("block")).first()[0] for side in (row_blocks, query_blocks)]
+    if None in last:
+        return row_blocks.sparkSession.createDataFrame([], schema)
     none = F.lit(None).cast("binary")
 
-    def spread(side: DataFrame, others: list[int], own: str, other: str, columns: list[Column]):
-        copies = F.explode(F.array(*[F.lit(n) for n in others]).cast("array<long>"))
+    def spread(side: DataFrame, others: int, own: str, other: str, columns: list[Column]):
+        copies = F.explode(F.sequence(F.lit(0), F.lit(others).cast("long")))
         return side.select(F.col("block").alias(own), copies.alias(other), *columns)
 
-    if not all(numbers):
-        return row_blocks.sparkSession.createDataFrame([], schema)
     data = F.col("data")
     both = spread(
-        row_blocks, numbers[1], "b", "q", [data.alias("rows"), none.alias("queries")]
+        row_blocks, last[1], "b", "q", [data.alias("rows"), none.alias("queries")]
     ).unionByName(
-        spread(query_blocks, numbers[0], "q", "b", [none.alias("rows"), data.alias("queries")])
+        spread(query_blocks, last[0], "q", "b", [none.alias("rows"), data.alias("queries")])
     )
+    names = StructType.fromDDL(schema).names
 
     def one(pair: pd.DataFrame) -> pd.DataFrame:
-        rows, queries = (unpacked(pair[c].dropna().iloc[0]) for c in ("rows", "queries"))
-        return pd.concat(list(work(rows, queries)), ignore_index=True)
+        rows, queries = (pair[c].dropna() for c in ("rows", "queries"))
+        if not len(rows) or not len(queries):  # a number that no block has
+            return pd.DataFrame(columns=names)
+        found = list(work(unpacked(rows.iloc[0]), unpacked(queries.iloc[0])))
+        return pd.concat(found, ignore_index=True)
 
     return both.groupBy("b", "q").applyInPandas(one, schema)
