@@ -4,10 +4,11 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as contract
+from fixtures import oracle, registry
 from fixtures.compare import differences, duck
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle.oracle_sql()
+QUERIES = registry.queries()
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow")
 
 
@@ -21,7 +22,8 @@ def test_entry_is_one_kpi_row(spark):
 
 
 def test_every_sql_text_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     fitted = {
         "lr_scores",
         "gbt_scores",
