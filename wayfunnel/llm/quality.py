@@ -238,13 +238,12 @@ def keep_good(
 ) -> DataFrame:
     """The documents, all columns, that score at least the threshold.
 
-    Features are computed once for the labelled rows and once for all, so that no text shuffles.
+    Features are computed twice, to learn from and to decide by, so that no text shuffles: only
+    the features meet the labels.
     """
-    marked = labels.where(trained).select(key, label)
-    wanted = marked.select(F.col(key).alias("_wanted")).distinct()
-    some = documents.select(key, text).join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
-    features = written(with_features(some, text, [key]), "quality")
-    ranker = fit_ranker(labelled_rows(features, marked, key, label), key=key, **fitting)
+    features = written(with_features(documents, text, [key]), "quality")
+    features = features.where(trained)
+    ranker = fit_ranker(labelled_rows(features, labels, key, label), key=key, **fitting)
     name = fresh("features", documents.columns)
     scored = with_features(documents, text, documents.columns, name)
     return scored.where(ranker.score(name) >= ranker.threshold).drop(name)
