@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfunnel.llm.common import fresh
+from wayfunnel.llm.common import fresh, written
 
 # 13 hexadecimal digits: as many bits as a double holds exactly
 DIGITS = 13
@@ -40,7 +40,8 @@ def poisson_steps(rate: Column, largest_rate: float) -> Column:
             F.concat(state["sums"], F.array(F.element_at(state["sums"], -1) + p)).alias("sums"),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(most)).cast("array<double>"), start, extend)["sums"]
+    counts = F.sequence(F.lit(1), F.lit(most)).cast("array<double>")
+    return F.aggregate(counts, start, extend)["sums"]
 
 
 def source_rates(
@@ -59,9 +60,8 @@ def source_rates(
     source's weight is its UTF-8 bytes to the given power. volume is the size of the mix relative
     to the input. A source without bytes has rate 1, and no rate exceeds largest_rate.
     """
-    sizes = documents.groupBy(F.col(source).alias("source")).agg(
-        F.sum(F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")).alias("n_bytes")
-    )
+    n_bytes = F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")
+    sizes = documents.groupBy(F.col(source).alias("source")).agg(F.sum(n_bytes).alias("n_bytes"))
     if targets is None:
         weight = F.pow(F.col("n_bytes").cast("double"), F.lit(power))
         if power == 0.5:
@@ -79,9 +79,9 @@ def source_rates(
     share = F.col("weight") / totals.select("all").scalar()
     wanted = share * totals.select("all_bytes").scalar() * volume
     rate = F.when(F.col("n_bytes") > 0, F.least(wanted / F.col("n_bytes"), F.lit(largest_rate)))
-    return weighted.select(
-        "source", "n_bytes", F.coalesce(rate, F.lit(1.0)).alias("rate")
-    ).withColumn("steps", poisson_steps(F.col("rate"), largest_rate))
+    rated = weighted.select("source", "n_bytes", F.coalesce(rate, F.lit(1.0)).alias("rate"))
+    # written, so that its size is known when the join with the documents is planned
+    return written(rated.withColumn("steps", poisson_steps(F.col("rate"), largest_rate)), "rates")
 
 
 def mix(
@@ -103,17 +103,17 @@ def mix(
     rate = rates.select(F.col("source").alias("_source"), F.col("steps").alias("_steps"))
     joined = documents.join(rate, F.col(source).eqNullSafe(F.col("_source")))
     drawn = uniform(F.lit(seed), F.col(key))
-    # copies: how many cumulative probabilities the draw has reached
-    reached = F.size(F.filter("_steps", lambda s: s <= F.col("_drawn")))
-    copies = (
-        joined.withColumn("_drawn", drawn)
-        .withColumn("_copies", reached)
-        .drop("_source", "_steps", "_drawn")
-        .where("_copies > 0")
-        .withColumn(copy, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-        .drop("_copies")
-        .withColumn(order, uniform(F.lit(seed + 1), F.col(key), F.col(copy)))
+    # copies: how many cumulative probabilities the draw has reached. The draw is bound once by the
+    # outer function; named in a column, it would be worked out for every step.
+    reached = F.transform(
+        F.array(drawn), lambda u: F.size(F.filter("_steps", lambda s: s <= u))
     )
+    names = documents.columns
+    copies = joined.select(
+        *[F.col(f"`{name}`") for name in names],
+        F.posexplode(F.array_repeat(F.lit(True), F.get(reached, F.lit(0)))).alias(copy, "_one"),
+    ).drop("_one")
+    copies = copies.withColumn(order, uniform(F.lit(seed + 1), F.col(key), F.col(copy)))
     cell = F.floor(F.col(order) * 1_000_000)
     return copies.repartition(cell).sortWithinPartitions(order)
 
