@@ -413,12 +413,16 @@ def tied_score(records: DataFrame) -> DataFrame:
 
 
 def scoring_requests(dataset: DataFrame) -> DataFrame:
-    """Scoring records of which some break rules: long lead times, wrong flags, missing values."""
+    """Scoring records of which some break rules: long lead times, wrong flags, missing values,
+    fractions and NaN."""
     slow = F.col("search_latency_ms")
     return dataset.drop("booked_flag", "searched_at").withColumns(
         {
             "days_before_travel": F.col("days_before_travel") * 7,
-            "passengers": F.when(slow % 50 == 0, 0).otherwise(F.col("passengers")),
+            "passengers": F.when(slow % 50 == 0, 0.0)
+            .when(slow % 60 == 7, 1.5)
+            .otherwise(F.col("passengers").cast("double")),
+            "search_latency_ms": F.when(slow % 80 != 9, slow).otherwise(F.lit(float("nan"))),
             "zero_results_flag": F.when(
                 slow % 40 == 1, 1 - F.col("zero_results_flag")
             ).otherwise(F.col("zero_results_flag")),

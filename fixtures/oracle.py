@@ -487,7 +487,10 @@ def _imputation() -> str:
 TABLES["requests"] = """
 select * exclude (booked_flag, searched_at) replace (
   days_before_travel * 7 as days_before_travel,
-  case when search_latency_ms % 50 = 0 then 0 else passengers end as passengers,
+  case when search_latency_ms % 50 = 0 then 0 when search_latency_ms % 60 = 7 then 1.5
+    else passengers end::double as passengers,
+  case when search_latency_ms % 80 <> 9 then search_latency_ms else 'nan'::double end
+    as search_latency_ms,
   case when search_latency_ms % 40 = 1 then 1 - zero_results_flag else zero_results_flag end as zero_results_flag,
   case when search_latency_ms % 70 <> 3 then country end as country)
 from dataset"""
@@ -508,14 +511,19 @@ _RANGES = {
 
 def _violations() -> str:
     rules = [(f"{c}: missing value", f"{c} is null") for c in FEATURES]
-    rules += [(f"{c}: out of range", f"not ({c} {limits})") for c, limits in _RANGES.items()]
+    rules += [(f"{c}: out of range", f"not ({c} {limits}) or isnan({c}::double)") for c, limits in _RANGES.items()]
+    rules += [
+        (f"{c}: not a whole number", f"not isnan({c}::double) and {c} <> floor({c})")
+        for c in _RANGES
+        if c != "search_latency_ms"
+    ]
     rules += [
         (
-            "results_count: must be 0 when zero_results_flag is 1",
+            "results_count: above 0 in a search flagged empty",
             "zero_results_flag = 1 and results_count <> 0",
         ),
         (
-            "results_count: must be above 0 when zero_results_flag is 0",
+            "results_count: 0 in a search not flagged empty",
             "zero_results_flag = 0 and results_count = 0",
         ),
     ]
@@ -611,8 +619,7 @@ _SEED, _REPEATS = 42, 3
 
 TABLES["sampled"] = f"""
 select search_id, booked_flag, {', '.join(FEATURES)}, row_number() over (order by h, search_id) as position
-from (select *, md5(concat_ws(':', '{_SEED}', search_id)) as h from dataset)
-order by h, search_id limit 25000"""
+from (select *, md5(concat_ws(':', '{_SEED}', search_id)) as h from dataset)"""
 
 TABLES["donors"] = f"""
 select repeat, {', '.join(FEATURES)},

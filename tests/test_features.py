@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfunnel.operators import features, importance, validation
 from wayfunnel.settings import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, TARGET
@@ -109,10 +110,10 @@ def test_range_edges(spark, field, low, high):
 
 def test_zero_flag_must_agree_with_the_count(spark):
     assert errors(spark, zero_results_flag=1) == [
-        "results_count: must be 0 when zero_results_flag is 1"
+        "results_count: above 0 in a search flagged empty"
     ]
     assert errors(spark, results_count=0) == [
-        "results_count: must be above 0 when zero_results_flag is 0"
+        "results_count: 0 in a search not flagged empty"
     ]
     assert errors(spark, results_count=0, zero_results_flag=1) == []
 
@@ -164,8 +165,7 @@ def test_grouped_average_precision(spark):
 
 
 def test_permutation_keeps_the_values_of_each_feature(j):
-    sample = importance.sample_rows(j.dataset, 200, seed=7)
-    assert sample.count() == 200
+    sample = j.dataset.orderBy("search_id").limit(200)
     permuted = importance.permuted_rows(sample, repeats=2, seed=7)
     assert permuted.count() == 200 * (len(FEATURES) * 2 + 1)
     one = permuted.where("feature = 'search_latency_ms' and repeat = 1")
@@ -182,22 +182,44 @@ def test_importance_finds_the_only_feature_that_counts(j):
         return rows.withColumn("score", 0.2 + 0.5 * F.col("railcard_used"))
 
     labelled = j.dataset.withColumn(TARGET, F.col("railcard_used"))
-    table = importance.permutation_importance(labelled, by_railcard, sample_size=500)
+    table = importance.permutation_importance(labelled, by_railcard)
     rows = {r["feature"]: r for r in table.collect()}
     assert rows["railcard_used"]["importance_mean"] > 0.3
     others = [r["importance_mean"] for f, r in rows.items() if f != "railcard_used"]
     assert len(others) == 17 and max(map(abs, others)) < 1e-12
 
 
-def test_sample_is_the_lowest_hashes_exactly(j):
+def test_all_rows_are_permuted_without_a_cap(spark):
+    columns = [F.col("id").cast("double").alias(f) for f in FEATURES]
+    rows = spark.range(30_000).select(
+        F.col("id").cast("string").alias("search_id"), F.lit(1).alias(TARGET), *columns
+    )
+    one = importance.permuted_rows(rows, repeats=1, seed=3).where("feature = 'passengers'")
+    assert one.count() == 30_000
+    assert one.select("passengers").distinct().count() == 30_000
+    assert one.where("passengers <> search_hour").count() > 29_900
+
+
+def test_positions_follow_the_hash_in_every_round(j):
     rows = j.dataset.select("search_id")
-    for size in (1, 50, 10_000):
-        taken = {r[0] for r in importance.sample_rows(rows, size, seed=3).collect()}
-        plain = rows.orderBy(importance._draw("search_id", 3), "search_id").limit(size)
-        assert taken == {r[0] for r in plain.collect()}
+    placed = importance.shuffled_positions(rows, repeats=2, seed=3, key="search_id")
+    order = Window.partitionBy("repeat").orderBy("h", "search_id")
+    salted = F.when(F.col("repeat") < 0, F.concat_ws(":", F.lit("3"), "search_id")).otherwise(
+        F.concat_ws(":", F.lit("3"), "repeat", "search_id")
+    )
+    checked = placed.withColumn("h", F.md5(salted.cast("binary"))).withColumn(
+        "expected", F.row_number().over(order)
+    )
+    assert checked.count() == 3 * rows.count()
+    assert checked.where("position <> expected").count() == 0
 
 
-def test_sample_does_not_depend_on_partitioning(j):
-    first = importance.sample_rows(j.dataset, 50, seed=1).select("search_id").collect()
-    again = importance.sample_rows(j.dataset.repartition(3), 50, seed=1)
-    assert {r[0] for r in first} == {r[0] for r in again.select("search_id").collect()}
+def test_nan_and_fractions_are_rejected(spark):
+    assert errors(spark, search_latency_ms=float("nan")) == ["search_latency_ms: out of range"]
+    assert errors(spark, search_latency_ms=0.5) == []
+    whole = records(spark, {}).withColumn("passengers", F.lit(1.5))
+    frame = validation.validate_records(whole, keys=("search_id",))
+    assert frame.first()["errors"] == ["passengers: not a whole number"]
+    text = records(spark, {}).withColumn("passengers", F.lit("2"))
+    with pytest.raises(validation.RecordSchemaError, match="passengers"):
+        validation.validate_records(text, keys=("search_id",))

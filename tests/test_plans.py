@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fixtures.derive import CHECKOUT, SPLIT, SUPPLY, scoring_requests
 from wayfunnel.operators import evaluation, incidents, models, quality
 from wayfunnel.plans.investigation import investigate
-from wayfunnel.plans.modelling import score_batch, train_and_evaluate
+from wayfunnel.plans.modelling import published, score_batch, train_and_evaluate
 from wayfunnel.plans.warehouse import build_warehouse
 from wayfunnel.settings import BoostingParams, ModelParams
 from wayfunnel.sources import exports, raw, warehouse, workarea
@@ -91,9 +91,11 @@ def test_modelling_stage(spark, j, tmp_path):
     assert info["threshold"] == result.threshold and len(info["features"]) == 18
 
     requests = scoring_requests(j.dataset)
-    scored, rejected = score_batch(requests, result.model_path, result.champion, result.threshold)
+    assert published(spark, str(tmp_path)) == (result.champion, result.threshold)
+    assert published(spark, f"{tmp_path}/nowhere") == ("Unknown", 0.5)
+    scored, rejected = score_batch(requests, result.model_path)
     assert scored.count() + rejected.count() == requests.count()
-    assert rejected.count() > 0
+    assert rejected.where("isnan(search_latency_ms)").count() > 0
     bounds = one(scored.agg(F.min("booking_probability"), F.max("booking_probability")))
     assert all(0 <= b <= 1 for b in bounds.values())
 

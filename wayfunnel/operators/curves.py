@@ -21,9 +21,11 @@ LOG_ODDS = 16.0  # cells span log-odds of -16 to 16
 TIE_DIGITS = 3  # hex digits of the tie hash: 4,096 cells per tied score
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(score, n, pos) per distinct score."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+def score_counts(
+    scored: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """(score, n, pos) per distinct score, and group if there are any."""
+    return scored.groupBy(*by, F.col(score).alias("score")).agg(
         rows("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
     )
 
@@ -37,20 +39,28 @@ def _cell(score: Column, cells: int) -> Column:
     return F.when(score <= 0, 0).when(score >= 1, cells - 1).otherwise(inside).cast("int")
 
 
-def score_curve(counts: DataFrame, cells: int = CELLS) -> DataFrame:
-    """(score, n, pos, cum_n, cum_pos, total_n, total_pos), cumulative from the highest score down.
+def score_curve(
+    counts: DataFrame, cells: int = CELLS, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """(score, n, pos, cum_n, cum_pos, total_n, total_pos), cumulative from the highest score down,
+    per group if there are any.
 
-    The cells only balance the work; any scores give exact totals. The broadcast side has at most
-    ``cells`` rows by construction.
+    The cells only balance the work; any scores give exact totals. Without groups the broadcast
+    side has at most ``cells`` rows by construction; with groups it is joined by its size.
     """
     celled = counts.withColumn("cell", _cell(F.col("score"), cells))
 
-    higher = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    higher = (
+        Window.partitionBy(*by)
+        .orderBy(F.desc("cell"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    everything = Window.partitionBy(*by)
     offsets = (
-        celled.groupBy("cell")
+        celled.groupBy(*by, "cell")
         .agg(F.sum("n").alias("cell_n"), F.sum("pos").alias("cell_pos"))
         .select(
+            *by,
             "cell",
             F.coalesce(F.sum("cell_n").over(higher), F.lit(0)).alias("n_above"),
             F.coalesce(F.sum("cell_pos").over(higher), F.lit(0)).alias("pos_above"),
@@ -59,14 +69,16 @@ def score_curve(counts: DataFrame, cells: int = CELLS) -> DataFrame:
         )
     )
     inside = (
-        Window.partitionBy("cell")
+        Window.partitionBy(*by, "cell")
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = celled.withColumns(
         {"run_n": F.sum("n").over(inside), "run_pos": F.sum("pos").over(inside)}
     )
-    return running.join(F.broadcast(offsets), "cell").select(
+    side = offsets if by else F.broadcast(offsets)
+    return running.join(side, [*by, "cell"]).select(
+        *by,
         "score",
         "n",
         "pos",

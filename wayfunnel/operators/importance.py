@@ -7,48 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfunnel.operators.curves import score_counts, score_curve
 from wayfunnel.settings import FEATURES, TARGET
 
 NOTHING = "(none)"
-PREFIX_DIGITS = 5  # 1,048,576 hash prefixes
+RANK_DIGITS = 4  # rows are ranked in 65,536 hash cells
+BASE = -1  # the round that holds the unchanged order
 
 
 def _draw(key: str, *salt: object) -> Column:
     return F.md5(F.concat_ws(":", *[F.lit(str(s)) for s in salt], F.col(key)).cast("binary"))
 
 
-def sample_rows(frame: DataFrame, size: int, seed: int, key: str = "search_id") -> DataFrame:
-    """The ``size`` rows with the lowest keyed hash: the same rows on every run and cluster.
+def shuffled_positions(rows: DataFrame, repeats: int, seed: int, key: str) -> DataFrame:
+    """Every row once per round, with its position from 1 in the round's random order.
 
-    A plain ordered limit would send ``size`` rows of every task to one task. So the hash prefixes
-    are counted first (at most 16 ** PREFIX_DIGITS of them) and only rows up to the prefix that
-    completes the sample take part in the sort.
+    Rounds are ``BASE`` and 0 to ``repeats`` - 1; the order is that of a hash of seed, round and
+    key. The first digits of the hash are a cell: cells are counted and numbered within, so that
+    no task ever orders more than a cell.
     """
-    hashed = frame.withColumn("_draw", _draw(key, seed))
-    prefix = F.substring("_draw", 1, PREFIX_DIGITS)
-    before = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    prefixes = hashed.groupBy(prefix.alias("prefix")).count()
-    needed = prefixes.withColumn("rank", F.coalesce(F.sum("count").over(before), F.lit(0))).where(
-        F.col("rank") < size
+    rounds = F.explode(F.array(*[F.lit(r) for r in (BASE, *range(repeats))])).alias("repeat")
+    salted = F.when(F.col("repeat") == BASE, _draw(key, seed)).otherwise(
+        F.md5(F.concat_ws(":", F.lit(str(seed)), "repeat", key).cast("binary"))
+    )
+    drawn = rows.select("*", rounds).withColumn("draw", salted)
+    celled = drawn.withColumn("cell", F.substring("draw", 1, RANK_DIGITS))
+    before = (
+        Window.partitionBy("repeat").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        celled.groupBy("repeat", "cell")
+        .count()
+        .select("repeat", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    )
+    inside = Window.partitionBy("repeat", "cell").orderBy("draw", key)
+    ranked = celled.withColumn("place", F.row_number().over(inside)).join(
+        offsets, ["repeat", "cell"]
+    )
+    return ranked.withColumn("position", F.col("offset") + F.col("place")).drop(
+        "draw", "cell", "offset", "place"
     )
-    last = needed.agg(F.max("prefix")).scalar()
-    return hashed.where(prefix <= last).orderBy("_draw", key).limit(size).drop("_draw")
-
 
-def permuted_rows(sample: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
-    """Every sampled row once unchanged (feature ``NOTHING``) and once per feature and repeat,
-    with that feature taken from another row.
 
-    All features of a repeat share one permutation. The sample size bounds every window here.
-    """
-    by_hash = Window.orderBy(_draw(key, seed), key)
-    base = sample.withColumn("position", F.row_number().over(by_hash))
-    rounds = F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("repeat")
-    donors = sample.select(rounds, key, F.struct(*FEATURES).alias("donor"))
-    shuffled = Window.partitionBy("repeat").orderBy(
-        F.md5(F.concat_ws(":", F.lit(str(seed)), "repeat", key).cast("binary")), key
+def permuted_rows(rows: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
+    """Every row once unchanged (feature ``NOTHING``) and once per feature and repeat, with that
+    feature taken from another row. All features of a repeat share one permutation."""
+    placed = shuffled_positions(rows.select(key, TARGET, *FEATURES), repeats, seed, key)
+    base = placed.where(F.col("repeat") == BASE).drop("repeat")
+    donors = placed.where(F.col("repeat") != BASE).select(
+        "repeat", "position", F.struct(*FEATURES).alias("donor")
     )
-    donors = donors.select("repeat", "donor", F.row_number().over(shuffled).alias("position"))
     features = F.explode(F.array(*[F.lit(f) for f in FEATURES])).alias("feature")
     paired = base.join(donors, "position").select("*", features)
 
@@ -68,18 +76,8 @@ def permuted_rows(sample: DataFrame, repeats: int, seed: int, key: str = "search
 def grouped_average_precision(
     scored: DataFrame, by: tuple[str, ...], score: str = "score", label: str = TARGET
 ) -> DataFrame:
-    """Step-wise average precision per group, for groups of bounded size (the sample)."""
-    counts = scored.groupBy(*by, F.col(score).alias("score")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")
-    )
-    running = (
-        Window.partitionBy(*by)
-        .orderBy(F.desc("score"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    curve = counts.withColumns(
-        {"cum_n": F.sum("n").over(running), "cum_pos": F.sum("pos").over(running)}
-    )
+    """Step-wise average precision per group of any size, from the grouped ranked curve."""
+    curve = score_curve(score_counts(scored, score, label, by), by=by)
     steps = F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n")))
     return curve.groupBy(*by).agg(
         (steps / F.nullif(F.sum("pos"), F.lit(0))).alias("average_precision")
@@ -89,7 +87,6 @@ def grouped_average_precision(
 def permutation_importance(
     frame: DataFrame,
     score_rows: Callable[[DataFrame], DataFrame],
-    sample_size: int = 25_000,
     repeats: int = 3,
     seed: int = 42,
     key: str = "search_id",
@@ -97,10 +94,9 @@ def permutation_importance(
     """(feature, importance_mean, importance_std) over the repeats, population deviation.
 
     ``score_rows`` adds a ``score`` column, for example ``model.transform`` plus a projection. It
-    is called once, on all permuted rows together.
+    is called once, on all permuted rows together: every row of the frame takes part.
     """
-    sample = sample_rows(frame.select(key, TARGET, *FEATURES), sample_size, seed, key)
-    scored = score_rows(permuted_rows(sample, repeats, seed, key))
+    scored = score_rows(permuted_rows(frame, repeats, seed, key))
     precision = grouped_average_precision(scored, ("feature", "repeat"))
     # one row per feature and repeat: the unchanged rows' value goes to all of them
     baseline = F.max(

@@ -151,7 +151,9 @@ def incident_impact(compared: DataFrame, comparison: Comparison) -> DataFrame:
     Revenue uses the baseline order value as the comparison mart shows it, rounded.
     """
     expected = F.col(f"i.{comparison.base}") * _share("b", comparison, "bookings")
-    lost = F.greatest(expected - F.col("i.bookings"), F.lit(0.0))
+    # greatest skips NULLs: without a baseline the loss is undefined, not zero
+    missing = expected - F.col("i.bookings")
+    lost = F.when(missing.isNotNull(), F.greatest(missing, F.lit(0.0)))
 
     def before_after(measure: str, label: str, change: str | None) -> list[Column]:
         before, after = F.col(f"b.{measure}"), F.col(f"i.{measure}")

@@ -19,9 +19,14 @@ class Range:
 
     def broken(self) -> Column:
         value = F.col(self.column)
-        outside = value < self.lowest
+        # NaN is greater than every number in Spark, so without a limit it would pass
+        outside = (value < self.lowest) | F.isnan(value)
         return outside if self.highest is None else outside | (value > self.highest)
 
+    def fractional(self) -> Column:
+        value = F.col(self.column)
+        return ~F.isnan(value) & (value != F.floor(value))
+
 
 # Inclusive limits of the numeric fields.
 RANGES = (
@@ -38,8 +43,13 @@ RANGES = (
 )
 
 
+# Fixed value: the one numeric field that takes fractions; the others are whole numbers.
+FRACTIONS_ALLOWED = ("search_latency_ms",)
+NUMBER = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
 class RecordSchemaError(ValueError):
-    """Scoring records lack a field or carry an unknown one."""
+    """Scoring records lack a field, carry an unknown one, or have text where numbers belong."""
 
 
 def check_fields(records: DataFrame, keys: tuple[str, ...] = ()) -> None:
@@ -50,14 +60,25 @@ def check_fields(records: DataFrame, keys: tuple[str, ...] = ()) -> None:
         raise RecordSchemaError(f"missing model features: {missing}")
     if extra:
         raise RecordSchemaError(f"unexpected fields: {extra}")
+    kinds = dict(records.dtypes)
+    wrong = [r.column for r in RANGES if kinds[r.column].split("(")[0] not in NUMBER]
+    if wrong:
+        raise RecordSchemaError(f"fields that are not numbers: {wrong}")
 
 
 def _rules() -> dict[str, Column]:
     rules = {f"{name}: missing value": F.col(name).isNull() for name in FEATURES}
     rules.update({f"{r.column}: out of range": r.broken() for r in RANGES})
+    rules.update(
+        {
+            f"{r.column}: not a whole number": r.fractional()
+            for r in RANGES
+            if r.column not in FRACTIONS_ALLOWED
+        }
+    )
     no_results, flagged = F.col("results_count") == 0, F.col("zero_results_flag") == 1
-    rules["results_count: must be 0 when zero_results_flag is 1"] = flagged & ~no_results
-    rules["results_count: must be above 0 when zero_results_flag is 0"] = (
+    rules["results_count: above 0 in a search flagged empty"] = flagged & ~no_results
+    rules["results_count: 0 in a search not flagged empty"] = (
         F.col("zero_results_flag") == 0
     ) & no_results
     return rules

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfunnel.operators import evaluation, features, importance, models, quality, validation
-from wayfunnel.settings import FEATURES, TARGET, ModelParams, SplitDates
+from wayfunnel.settings import DEFAULT_THRESHOLD, FEATURES, TARGET, ModelParams, SplitDates
 from wayfunnel.sources import exports
 
 
+UNKNOWN = "Unknown"
+
+
 @dataclass
 class ModellingResult:
     champion: str
@@ -69,6 +73,7 @@ def train_and_evaluate(
     for name in ("threshold_analysis", "decile_analysis", "calibration"):
         exports.export_csv(tables[name], f"{base}/{name}.csv", tables[name].columns[:1])
     exports.export_csv(tables["test_metrics"], f"{base}/test_metrics.csv")
+    exports.export_csv(tables["top_decile_lift"], f"{base}/top_decile_lift.csv")
     best_first = [F.desc("pr_auc"), F.desc("roc_auc")]
     exports.export_csv(comparison, f"{base}/model_comparison.csv", best_first)
     by_importance = [F.desc("importance_mean")]
@@ -77,10 +82,35 @@ def train_and_evaluate(
     return ModellingResult(champion.name, model_path, best, comparison, predictions, tables)
 
 
+def published(spark: SparkSession, directory: str) -> tuple[str, float]:
+    """Name and threshold of the model whose run was written to the directory; "Unknown" and the
+    default threshold if it left no metadata or not these fields."""
+    try:
+        info = spark.read.json(f"{directory.rstrip('/')}/model_info.json")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return UNKNOWN, DEFAULT_THRESHOLD
+    row = info.first()
+    found = row.asDict() if row else {}
+    limit = found.get("threshold")
+    return found.get("champion_model") or UNKNOWN, DEFAULT_THRESHOLD if limit is None else limit
+
+
 def score_batch(
-    records: DataFrame, model_path: str, model_name: str, threshold: float
+    records: DataFrame,
+    model_path: str,
+    model_name: str | None = None,
+    threshold: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Validate records of any number, score the valid ones: (predictions, rejected records)."""
+    """Validate records of any number, score the valid ones: (predictions, rejected records).
+
+    Name and threshold are those published beside the model unless given.
+    """
+    if model_name is None or threshold is None:
+        name, limit = published(records.sparkSession, model_path.rstrip("/").rpartition("/")[0])
+        model_name = name if model_name is None else model_name
+        threshold = limit if threshold is None else threshold
     valid, rejected = validation.split_valid(
         validation.validate_records(records, keys=("search_id",))
     )
