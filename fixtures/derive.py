@@ -32,13 +32,9 @@ CHECKOUT = Incident(
 )
 SPLIT = SplitDates(datetime(1999, 1, 1), datetime(2000, 1, 1))
 
-GIVEN = ["orders", "lineitem", "customer", "nation", "region"]
-
-# An order with more lines than this, and more than a ten-thousandth of all lines, is numbered by
-# many tasks. The share bounds the number of such orders to ten thousand.
-HOT_LINES = 1_000_000
-HOT_SHARE = 0.0001
+CELL_DIGITS = 2  # hex digits of a line's md5: an order is numbered in up to 256 cells
 
+GIVEN = ["orders", "lineitem", "customer", "nation", "region"]
 
 def given(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
@@ -96,26 +92,12 @@ def _min_quantity() -> Column:
     return F.when(scarce, 30.0).otherwise(10.0)
 
 
-def hot_orders(lines: DataFrame, min_lines: int, share: float) -> list[int]:
-    """Keys of the orders above both limits; there are at most 1/share of them."""
-    per_order = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    limit = per_order.agg(F.sum("n") * share).scalar()
-    hot = per_order.where((F.col("n") > min_lines) & (F.col("n") > limit)).select("k")
-    return [row["k"] for row in hot.collect()]
-
-
-def options(
-    lineitem: DataFrame,
-    base: DataFrame,
-    hot_lines: int = HOT_LINES,
-    hot_share: float = HOT_SHARE,
-) -> DataFrame:
+def options(lineitem: DataFrame, base: DataFrame) -> DataFrame:
     """Qualifying lines with their position in the order and the number of such lines.
 
-    The position is a row number per order, in the order of an md5 of the line. Orders that hold a
-    large share of the lines leave the main path: they are joined by broadcast (at most 1/share of
-    them) and numbered inside md5-prefix cells plus the cells' offsets, which are joined on the
-    partitioning that the numbering already has.
+    The position is a row number per order, in the order of an md5 of the line. Lines are numbered
+    inside cells of their order (the first digits of that md5) and moved by the cell's offset, so
+    an order of any size is numbered by many tasks.
     """
     lines = lineitem.where(F.col("l_quantity") > 10.0).select(
         F.col("l_orderkey").alias("k"),
@@ -127,46 +109,32 @@ def options(
         F.col("l_returnflag").alias("rf"),
         F.col("l_shipdate").alias("shipped"),
     )
-    search = base.select("k", "d", "st", "dest")
     digest = F.md5(F.concat_ws("-", "line", "pk", "sk").cast("binary"))
-    position = [F.col("digest"), F.col("qty"), F.col("fare"), F.col("shipped")]
-    columns = ["k", "d", "st", "pk", "sk", "fare", "rf", "pos", "rc"]
-
-    def qualifying(some_lines: DataFrame, some_searches: DataFrame) -> DataFrame:
-        joined = some_lines.join(some_searches, "k")
-        return joined.where(F.col("qty") > _min_quantity()).withColumn("digest", digest)
-
-    whole = Window.partitionBy("k")
-    hot = hot_orders(lines, hot_lines, hot_share)
-    usual = lines.where(~F.col("k").isin(hot)) if hot else lines
-    numbered = qualifying(usual, search).withColumns(
-        {
-            "pos": F.row_number().over(whole.orderBy(*position)).cast("bigint"),
-            "rc": F.count(F.lit(1)).over(whole),
-        }
-    )
-    if not hot:
-        return numbered.select(*columns)
-
-    hot_searches = search.where(F.col("k").isin(hot))
-    spread = qualifying(lines.where(F.col("k").isin(hot)), F.broadcast(hot_searches)).withColumn(
-        "cell", F.substring("digest", 1, 2)
+    qualifying = (
+        lines.join(base.select("k", "d", "st", "dest"), "k")
+        .where(F.col("qty") > _min_quantity())
+        .withColumn("digest", digest)
+        .withColumn("cell", F.substring("digest", 1, CELL_DIGITS))
     )
+    whole = Window.partitionBy("k")
     before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = spread.groupBy("k", "cell").agg(F.count(F.lit(1)).alias("cell_n"))
-    offsets = cells.select(
-        "k",
-        "cell",
-        F.coalesce(F.sum("cell_n").over(before), F.lit(0)).alias("offset"),
-        F.sum("cell_n").over(whole).alias("rc"),
+    offsets = (
+        qualifying.groupBy("k", "cell")
+        .agg(F.count(F.lit(1)).alias("cell_n"))
+        .select(
+            "k",
+            "cell",
+            F.coalesce(F.sum("cell_n").over(before), F.lit(0)).alias("offset"),
+            F.sum("cell_n").over(whole).alias("rc"),
+        )
     )
-    in_cell = Window.partitionBy("k", "cell").orderBy(*position)
-    spread_numbered = (
-        spread.withColumn("in_cell", F.row_number().over(in_cell))
+    inside = Window.partitionBy("k", "cell").orderBy("digest", "qty", "fare", "shipped")
+    return (
+        qualifying.withColumn("place", F.row_number().over(inside))
         .join(offsets, ["k", "cell"])
-        .withColumn("pos", F.col("offset") + F.col("in_cell"))
+        .withColumn("pos", F.col("offset") + F.col("place"))
+        .select("k", "d", "st", "pk", "sk", "fare", "rf", "pos", "rc")
     )
-    return numbered.select(*columns).unionByName(spread_numbered.select(*columns))
 
 
 def sessions(base: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ itself are rounded to six digits on both sides, as summation order differs betwe
 
 from __future__ import annotations
 
-from wayfunnel.settings import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
+from wayfunnel.settings import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, PREDICTION_POINT
 
 TABLES: dict[str, str] = {}
 
@@ -509,7 +509,7 @@ _RANGES = {
 }
 
 
-def _violations() -> str:
+def _rules() -> list[tuple[str, str]]:
     rules = [(f"{c}: missing value", f"{c} is null") for c in FEATURES]
     rules += [(f"{c}: out of range", f"not ({c} {limits}) or isnan({c}::double)") for c, limits in _RANGES.items()]
     rules += [
@@ -527,7 +527,11 @@ def _violations() -> str:
             "zero_results_flag = 0 and results_count = 0",
         ),
     ]
-    parts = [f"select '{r}' as rule, count(*) as violations from requests where {w}" for r, w in rules]
+    return rules
+
+
+def _violations() -> str:
+    parts = [f"select '{r}' as rule, count(*) as violations from requests where {w}" for r, w in _rules()]
     return f"select * from ({' union all '.join(parts)}) where violations > 0"
 
 
@@ -831,6 +835,91 @@ select {r6('score')} as threshold, {r6('cum_pos / cum_n::double')} as precision,
 }
 
 
+TABLES["tested"] = f"select *, {_FORMULA} as score from labelled where split = 'test'"
+TABLES["tested_curve"] = _curve("tested")
+TABLES["checked"] = f"select *, {_FORMULA} as score from labelled where split = 'validation'"
+TABLES["checked_curve"] = _curve("checked")
+TABLES["stepped"] = """
+select t.* from tied t join labelled l using (search_id) where l.split = 'validation'"""
+TABLES["stepped_curve"] = _curve("stepped")
+TABLES["compared"] = f"""
+select 'Formula' as model, * from ({_metrics('checked_curve')}) union all
+select 'Steps' as model, * from ({_metrics('stepped_curve')})"""
+TABLES["chosen_threshold"] = f"""
+select round(t, 2) as threshold
+from ({_THRESHOLDS}), tested group by t
+order by ifnull(2 * ifnull(sum(booked_flag) filter (score >= t), 0)
+  / nullif(count(*) filter (score >= t) + sum(booked_flag), 0)::double, 0) desc, threshold limit 1"""
+
+# One feature: the logistic fit gives its group's rate; one boosting step with two leaves gives
+# the logit 2 (2 r - 1) of the rows that were not held out.
+_HELD_OUT = "('0x' || substr(md5(search_id), 1, 8))::bigint % 10 = 0"
+
+FINAL |= {
+    "alert_reconciliation": f"""
+select 'alert_count_reconciliation' as "check",
+  ((select count(*) from ({_ALERT_DAYS})) <> (select sum(alert_flag) from alerts))::bigint as violations""",
+    "alert_reconciliation_damaged": f"""
+select 'alert_count_reconciliation' as "check",
+  ((select count(*) from ({_ALERT_DAYS}) where day(metric_date) <= 7)
+    <> (select sum(alert_flag) from alerts))::bigint as violations""",
+    "contract_check_damaged": """
+select * from (with searches_with_loss as (
+  select case when search_latency_ms % 40 <> 3 then search_id end as search_id from raw_searches),
+twice as (select * from raw_checkout union all
+          select * from raw_checkout where hour(checkout_started_at) = 11),
+keyed as (
+  select 'sessions' as t, session_id as k from raw_sessions union all
+  select 'searches', search_id from searches_with_loss union all
+  select 'journey_results', result_id from raw_journey_results union all
+  select 'checkout', checkout_id from twice union all
+  select 'bookings', booking_id from raw_bookings union all
+  select 'station_reference', station_code from raw_station_reference)
+select t as table_name, sum(n)::bigint as row_count, ifnull(sum(n) filter (k is null), 0)::bigint as null_keys,
+  count(*) filter (k is not null and n > 1) as duplicate_keys,
+  case t when 'searches' then 'railcard_used' else '' end as missing_columns,
+  case t when 'searches' then 'results_count' else '' end as mistyped_columns
+from (select t, k, count(*) as n from keyed group by t, k) group by t)""",
+    "dq_model_dataset_damaged": """
+select 'duplicate_search_ids' as "check", count(*) filter (search_latency_ms % 200 = 7) as violations
+from dataset
+union all select 'target_not_binary', count(*) filter (search_latency_ms % 90 = 0) from dataset""",
+    "dq_splits_damaged": """
+select unnest(['train_empty', 'validation_empty', 'test_empty', 'train_overlaps_validation',
+               'validation_overlaps_test']) as "check",
+  unnest([(a is null)::int, (b is null)::int, 1, ifnull((a >= b)::int, 0), 0])::bigint as violations
+from (select max(searched_at) filter (split <> 'validation') as a,
+        min(searched_at) filter (split = 'validation') as b from labelled)""",
+    "formula_test_predictions": f"""
+select search_id, searched_at, booked_flag, {r6('score')} as booking_probability,
+  (score >= 0.5)::int as predicted_booking_050 from tested""",
+    "formula_comparison": "select * from compared",
+    "formula_batch_scoring": f"""
+select search_id, {r6('p')} as booking_probability, (p >= threshold)::int as predicted_booking, threshold,
+  'Formula' as model_name
+from (select search_id, {_FORMULA} as p from requests
+      where not ({' or '.join(f'ifnull({w}, false)' for _, w in _rules())})), chosen_threshold""",
+    "formula_model_info": f"""
+select 'Formula' as champion_model, '{PREDICTION_POINT}' as prediction_point, threshold,
+  threshold as best_f1_threshold, {len(FEATURES)} as feature_count,
+  (select count(*) from labelled where split = 'train') as train_rows,
+  (select count(*) from labelled where split = 'validation') as validation_rows,
+  (select count(*) from labelled where split = 'test') as test_rows, '{','.join(FEATURES)}' as features,
+  (select string_agg(model, ',' order by pr_auc desc, roc_auc desc) from compared) as ranking,
+  (select feature from ({_IMPORTANCE}) order by importance_mean desc limit 1) as top_feature, m.*
+from ({_metrics('tested_curve')}) m, chosen_threshold""",
+    "lr_one_feature": """
+select v.search_id, round(r, 4) + 0e0 as score
+from labelled v join (select railcard_used, avg(booked_flag) as r from train group by 1) using (railcard_used)
+where v.split = 'validation'""",
+    "gbt_one_feature": f"""
+select v.search_id, round(1 / (1 + exp(-2 * (2 * r - 1))), 4) + 0e0 as score
+from labelled v join (select railcard_used, avg(booked_flag) as r from train where not ({_HELD_OUT}) group by 1)
+  using (railcard_used)
+where v.split = 'validation'""",
+}
+
+
 def _with_tables(final: str) -> str:
     tables = ", ".join(f"{name} as ({text.strip()})" for name, text in TABLES.items())
     return f"with {tables} {final.strip()}"

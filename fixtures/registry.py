@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,14 @@ from wayfunnel.operators import (
     validation,
 )
 from wayfunnel.plans.warehouse import build_funnel
-from wayfunnel.settings import TARGET
+from wayfunnel.settings import (
+    CATEGORICAL_FEATURES,
+    FEATURES,
+    NUMERIC_FEATURES,
+    TARGET,
+    BoostingParams,
+    ModelParams,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,6 +216,138 @@ def _model_info(j: Journey) -> DataFrame:
     return models.model_info(champion(j)[0], metrics, _best_threshold(j))
 
 
+# Scores that SQL can state, as saved pipelines: what surrounds a fitted model is then exact.
+FORMULAS = {
+    "Formula": (
+        "least(search_latency_ms * 0.0002D + results_count * 0.03D + railcard_used * 0.15D"
+        " + is_logged_in * 0.05D, 0.95D)"
+    ),
+    "Steps": (
+        "case when results_count >= 3 then 0.3D"
+        " else results_count * 0.1D + railcard_used * 0.05D end"
+    ),
+}
+
+
+@lru_cache(maxsize=16)
+def _formula_model(j: Journey, name: str) -> models.Candidate:
+    path = j.area.path(f"model_{name.lower()}")
+    statement = f"SELECT *, {FORMULAS[name]} AS score FROM __THIS__"
+    models.save_model(PipelineModel([SQLTransformer(statement=statement)]), path)
+    return models.Candidate(name, models.load_model(path))
+
+
+def _formula_locked_test(j: Journey) -> DataFrame:
+    model = _formula_model(j, "Formula").model
+    return models.predictions(models.probability(model, _splits(j)[2]))
+
+
+def _formula_threshold(j: Journey):
+    columns = {"score": "booking_probability", "label": TARGET}
+    table = evaluation.threshold_analysis(_formula_locked_test(j), **columns)
+    return evaluation.best_threshold(table).select("threshold").scalar()
+
+
+def _formula_comparison(j: Journey) -> DataFrame:
+    candidates = [_formula_model(j, name) for name in FORMULAS]
+    return models.model_comparison(candidates, _splits(j)[1])
+
+
+def _formula_batch(j: Journey) -> DataFrame:
+    requests = validation.validate_records(scoring_requests(j.dataset), keys=("search_id",))
+    valid, _ = validation.split_valid(requests)
+    candidate = _formula_model(j, "Formula")
+    scored = models.probability(candidate.model, valid)
+    return models.batch_scores(scored, candidate.name, _formula_threshold(j))
+
+
+def _formula_info(j: Journey) -> DataFrame:
+    """Metadata and training summary, one column per metric."""
+    metrics = evaluation.model_metrics(_formula_locked_test(j), "booking_probability", TARGET)
+    info = models.training_summary(
+        models.model_info("Formula", metrics, _formula_threshold(j)),
+        features.label_split(j.dataset, SPLIT),
+        _formula_comparison(j),
+        importance.permutation_importance(j.dataset, formula_score),
+    )
+    return info.select(
+        "champion_model",
+        "prediction_point",
+        "threshold",
+        "best_f1_threshold",
+        "feature_count",
+        "train_rows",
+        "validation_rows",
+        "test_rows",
+        F.concat_ws(",", "features").alias("features"),
+        F.concat_ws(",", "ranking").alias("ranking"),
+        F.col("top_features")[0].alias("top_feature"),
+        *[F.col("test_metrics")[name].alias(name) for name in evaluation.METRICS],
+    )
+
+
+def _railcard_only(rows: DataFrame) -> DataFrame:
+    """Records that differ in one feature, so that a fit has a closed form."""
+    same = {name: F.lit("same") for name in CATEGORICAL_FEATURES}
+    same |= {name: F.lit(1.0) for name in NUMERIC_FEATURES if name != "railcard_used"}
+    return rows.withColumns(same)
+
+
+CLOSED_FORM = ModelParams(
+    inverse_regularisation=1e9,
+    boosting=BoostingParams(rounds=1, max_depth=1, min_rows_per_leaf=1),
+)
+
+
+@lru_cache(maxsize=8)
+def _railcard_fit(j: Journey, name: str) -> PipelineModel:
+    train = _railcard_only(_splits(j)[0])
+    if name == models.LOGISTIC:
+        return models.fit_logistic(train, CLOSED_FORM)
+    digest = F.md5(F.col("search_id").cast("binary"))
+    held_out = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10 == 0
+    return models.fit_boosted(train, CLOSED_FORM, held_out=held_out)
+
+
+def _railcard_scores(j: Journey, name: str) -> DataFrame:
+    """Validation rows scored by a model that was fitted on one feature."""
+    model = _railcard_fit(j, name)
+    scored = models.probability(model, _railcard_only(_splits(j)[1]))
+    return scored.select("search_id", round_to(F.col("score"), 4).alias("score"))
+
+
+def _damaged_raw(j: Journey) -> dict[str, DataFrame]:
+    """Raw tables with lost keys, repeated rows, a lost column and one of another type."""
+    raw = j.raw_tables()
+    slow = F.col("search_latency_ms")
+    lost = F.when(slow % 40 != 3, F.col("search_id"))
+    started = F.hour("checkout_started_at")
+    checkout = raw["checkout"]
+    return raw | {
+        "searches": raw["searches"]
+        .withColumns({"search_id": lost, "results_count": F.col("results_count").cast("string")})
+        .drop("railcard_used"),
+        "checkout": checkout.unionByName(checkout.where(started == 11)),
+    }
+
+
+def _damaged_dataset(j: Journey) -> DataFrame:
+    slow = F.col("search_latency_ms")
+    wrong = F.when(slow % 90 == 0, 2).otherwise(F.col(TARGET))
+    return j.dataset.withColumn(TARGET, wrong).unionByName(j.dataset.where(slow % 200 == 7))
+
+
+def _damaged_splits(j: Journey) -> DataFrame:
+    """The test rows called training rows."""
+    split = F.when(F.col("split") == "test", "train").otherwise(F.col("split"))
+    return features.label_split(j.dataset, SPLIT).withColumn("split", split)
+
+
+def _damaged_report(j: Journey) -> DataFrame:
+    """Only the alert days in the first week of a month."""
+    return alerts.anomaly_alert_days(_alerts(j)).where(F.dayofmonth("metric_date") <= 7)
+
+
 def _scored(j: Journey) -> DataFrame:
     return formula_score(j.dataset)
 
@@ -335,6 +476,20 @@ def queries() -> dict[str, Query]:
                 validation.validate_records(scoring_requests(j.dataset), keys=("search_id",))
             )
         ),
+        "alert_reconciliation_damaged": _on(
+            lambda j: quality.alert_reconciliation(_summary(j), _damaged_report(j))
+        ),
+        "contract_check_damaged": _on(lambda j: quality.contract_check(_damaged_raw(j))),
+        "dq_model_dataset_damaged": _on(
+            lambda j: quality.model_dataset_checks(_damaged_dataset(j))
+        ),
+        "dq_splits_damaged": _on(lambda j: quality.split_checks(_damaged_splits(j))),
+        "formula_test_predictions": _on(lambda j: six_digits(_formula_locked_test(j))),
+        "formula_comparison": _on(lambda j: six_digits(_formula_comparison(j))),
+        "formula_batch_scoring": _on(lambda j: six_digits(_formula_batch(j))),
+        "formula_model_info": _on(lambda j: six_digits(_formula_info(j))),
+        "lr_one_feature": _on(lambda j: _railcard_scores(j, models.LOGISTIC)),
+        "gbt_one_feature": _on(lambda j: _railcard_scores(j, models.BOOSTED)),
         "lr_scores": _on(lambda j: _validation_scores(j, models.LOGISTIC)),
         "gbt_scores": _on(lambda j: _validation_scores(j, models.BOOSTED)),
         "model_comparison": _on(_comparison),

@@ -90,16 +90,37 @@ def test_metric_edge_cases(spark):
 def test_cells_keep_the_order_of_scores_and_spread_rare_ones(spark):
     from pyspark.sql import functions as F
 
-    from wayfunnel.operators.curves import CELLS, _cell
+    from wayfunnel.operators.curves import CELLS, _grid
 
     p = np.sort(np.concatenate([np.random.default_rng(5).random(2000) ** 6, [0.0, 1.0, 1e-300]]))
     rows = spark.createDataFrame([(float(v),) for v in p], "score double")
-    cells = [r[0] for r in rows.select(_cell(F.col("score"), CELLS)).coalesce(1).collect()]
+    cells = [r[0] for r in rows.select(_grid(F.col("score"), CELLS)).coalesce(1).collect()]
     assert cells == sorted(cells) and min(cells) == 0 and max(cells) == CELLS - 1
-    rare = rows.where("score between 1e-6 and 1e-4").select(_cell(F.col("score"), CELLS))
+    rare = rows.where("score between 1e-6 and 1e-4").select(_grid(F.col("score"), CELLS))
     assert rare.distinct().count() > 0.9 * rare.count() > 50
 
 
+def test_cells_follow_narrow_bands_and_outliers(spark):
+    from pyspark.sql import functions as F
+
+    from wayfunnel.operators.curves import score_cells
+
+    band = [(0.3 + 1e-4 * i / 20_000, 1, i % 2) for i in range(20_000)]
+    counts = spark.createDataFrame([*band, (-5.0, 1, 0), (9.0, 1, 1)], "score double, n long, pos long")
+    cells = score_cells(counts)
+    assert cells.agg(F.count_distinct("cell")).first()[0] > 10_000
+    assert cells.groupBy("cell").count().agg(F.max("count")).first()[0] < 20
+    ordered = [r["cell"] for r in cells.orderBy("score").collect()]
+    assert ordered == sorted(ordered)
+
+    values = [("f", 1e-4 * i / 20_000, 1) for i in range(20_000)] + [("f", 1e9, 1)]
+    counted = spark.createDataFrame(values, "feature string, value double, n long")
+    spread = quantiles.value_cells(counted, "feature")
+    assert spread.agg(F.count_distinct("cell")).first()[0] > 10_000
+    median = quantiles.grouped_quantiles(counted, "feature", [0.5]).first()["quantile"]
+    assert median == pytest.approx(float(np.median([v for _, v, _ in values])), rel=1e-12)
+
+
 def test_scores_outside_the_unit_interval_stay_exact(spark):
     p, y = np.array([-3.0, 7.0, 7.5, 0.5, 2.0, -9.0]), np.array([0, 1, 0, 1, 1, 0])
     curve = score_curve(score_counts(frame(spark, p, y))).orderBy("score").collect()

@@ -1,7 +1,8 @@
 """Hot keys: one key with a large share of the rows must neither change results nor fill one task."""
 
-from collections import Counter
+import hashlib
 
+import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -86,15 +87,22 @@ def lines_with_a_hot_order(spark):
 
 
 def test_hot_order_is_numbered_like_any_other(spark, j):
-    lines = lines_with_a_hot_order(spark)
-    narrow = lines.where("l_quantity > 10").select(F.col("l_orderkey").alias("k"))
-    assert derive.hot_orders(narrow, 100, 0.1) == [7]
-    split = derive.options(lines, j.base, hot_lines=100, hot_share=0.1)
-    plain = derive.options(lines, j.base)
-    assert Counter(split.collect()) == Counter(plain.collect())
-    hot = split.where("k = 7")
-    assert hot.count() > 1000
-    assert hot.agg(F.count_distinct("pos")).first()[0] == hot.count()
+    numbered = derive.options(lines_with_a_hot_order(spark), j.base).toPandas()
+    lines = lines_with_a_hot_order(spark).toPandas().merge(
+        j.base.select("k", "d", "dest").toPandas(), left_on="l_orderkey", right_on="k"
+    )
+    scarce = (lines["dest"] == "Hub A") & lines["d"].between(
+        derive.SUPPLY.incident.first, derive.SUPPLY.incident.last
+    )
+    lines = lines[lines["l_quantity"] > np.where(scarce, 30.0, 10.0)]
+    text = [f"{n}-{p}-{s}" for n, p, s in lines[["l_linenumber", "l_partkey", "l_suppkey"]].values]
+    lines["digest"] = [hashlib.md5(t.encode()).hexdigest() for t in text]
+    lines = lines.sort_values(["digest", "l_quantity", "l_extendedprice", "l_shipdate"])
+    lines["pos"] = lines.groupby("k").cumcount() + 1
+    lines["rc"] = lines.groupby("k")["pos"].transform("size")
+    wanted = lines[["k", "l_partkey", "l_suppkey", "pos", "rc"]].values.tolist()
+    assert sorted(numbered[["k", "pk", "sk", "pos", "rc"]].values.tolist()) == sorted(wanted)
+    assert (numbered["k"] == 7).sum() > 1000
 
 
 def test_staged_results_of_a_hot_search(spark, j):

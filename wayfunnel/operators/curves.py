@@ -3,8 +3,8 @@
 Every ranking metric needs "how many rows, and how many positives, score at least this high". A
 window without partitions would put all rows into one task. Instead rows are first counted per
 distinct score (combined map-side, so a score that a third of the rows share is one row), the
-distinct scores are laid over fixed cells, cell totals are accumulated over at most ``CELLS`` rows,
-and each cell finishes its own running totals in parallel.
+distinct scores are laid over cells that follow their distribution, cell totals are accumulated
+over at most twice ``CELLS`` rows, and each cell finishes its own running totals in parallel.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfunnel.functions.measures import rows
+from wayfunnel.operators.cells import refined
 
 CELLS = 65_536
 LOG_ODDS = 16.0  # cells span log-odds of -16 to 16
@@ -30,15 +31,25 @@ def score_counts(
     )
 
 
-def _cell(score: Column, cells: int) -> Column:
-    """Cell of a score, equally wide in log-odds: scores of rare events crowd near 0 and still
-    spread over thousands of cells. Scores outside the open unit interval go to the edge cells."""
+def _grid(score: Column, cells: int) -> Column:
+    """First grid, equally wide in log-odds: scores of rare events crowd near 0 and still spread
+    over thousands of cells. Scores outside the open unit interval go to the edge cells."""
     log_odds = F.log(score) - F.log1p(-score)
     position = F.floor((log_odds + LOG_ODDS) / (2 * LOG_ODDS) * cells)
     inside = F.greatest(F.least(position, F.lit(cells - 1)), F.lit(0))
     return F.when(score <= 0, 0).when(score >= 1, cells - 1).otherwise(inside).cast("int")
 
 
+def score_cells(counts: DataFrame, cells: int = CELLS, by: tuple[str, ...] = ()) -> DataFrame:
+    """The counts with the cell of each score.
+
+    The test on n and pos is always true. It keeps both in the branch that finds the cells, whose
+    shuffle is then that of the other branches and is reused.
+    """
+    known = counts.where((F.col("n") > 0) & (F.coalesce("pos", F.lit(0)) >= 0))
+    return refined(known, "score", _grid(F.col("score"), cells), cells, by)
+
+
 def score_curve(
     counts: DataFrame, cells: int = CELLS, by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -46,9 +57,10 @@ def score_curve(
     per group if there are any.
 
     The cells only balance the work; any scores give exact totals. Without groups the broadcast
-    side has at most ``cells`` rows by construction; with groups it is joined by its size.
+    sides have at most twice ``cells`` rows by construction; with groups they are joined by their
+    size.
     """
-    celled = counts.withColumn("cell", _cell(F.col("score"), cells))
+    celled = score_cells(counts, cells, by)
 
     higher = (
         Window.partitionBy(*by)

@@ -31,12 +31,7 @@ from wayfunnel.settings import (
 )
 from wayfunnel.sources.workarea import ensure_checkpoints
 
-# Names of the candidates.
-PRIOR, LOGISTIC, BOOSTED = (
-    "Dummy Baseline",
-    "Logistic Regression",
-    "Histogram Gradient Boosting",
-)
+PRIOR, LOGISTIC, BOOSTED = "Dummy Baseline", "Logistic Regression", "Gradient Boosted Trees"
 
 
 def _sql_literal(value: str | float) -> str:
@@ -80,7 +75,20 @@ def _indexer() -> StringIndexer:
     )
 
 
-def fit_logistic(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
+def fit_preparation(train: DataFrame) -> PipelineModel:
+    """Imputation and category indexes of the training rows; candidates can share them."""
+    return Pipeline(stages=[_imputer(train), _indexer()]).fit(train)
+
+
+def _fit_after(prepared: PipelineModel, stages: list, train: DataFrame) -> PipelineModel:
+    """The prepared stages followed by those fitted on the prepared rows, as one pipeline."""
+    fitted = Pipeline(stages=stages).fit(prepared.transform(train))
+    return PipelineModel(stages=[*prepared.stages, *fitted.stages])
+
+
+def fit_logistic(
+    train: DataFrame, params: ModelParams = ModelParams(), prepared: PipelineModel | None = None
+) -> PipelineModel:
     """L2 logistic regression on one-hot and standardised features.
 
     The penalty is divided by the row count: Spark averages the loss, while a unit inverse
@@ -106,19 +114,30 @@ def fit_logistic(train: DataFrame, params: ModelParams = ModelParams()) -> Pipel
         maxIter=params.logistic_iterations,
         tol=1e-8,
     )
-    stages = [_imputer(train), _indexer(), encoder, numbers, scaler, features, classifier]
-    return Pipeline(stages=stages).fit(train)
+    stages = [encoder, numbers, scaler, features, classifier]
+    return _fit_after(prepared or fit_preparation(train), stages, train)
+
+
+def held_out_share(params: ModelParams = ModelParams(), key: str = "search_id") -> Column:
+    """Whether a training row only decides when boosting stops: a share by a hash of key and seed."""
+    draw = F.abs(F.xxhash64(key, F.lit(params.seed)) % 100)
+    return draw < params.boosting.holdout_percent
 
 
-def fit_boosted(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
-    """Gradient-boosted trees on ordinal features, stopped early on a hashed tenth of the rows.
+def fit_boosted(
+    train: DataFrame,
+    params: ModelParams = ModelParams(),
+    prepared: PipelineModel | None = None,
+    held_out: Column | None = None,
+) -> PipelineModel:
+    """Gradient-boosted trees on ordinal features, stopped early on a hashed tenth of the rows or
+    those that ``held_out`` names.
 
     The category codes are plain numbers for the trees (the sum drops the nominal metadata), so
     the number of stations is not limited by ``max_bins``. Unseen values get the highest code.
     """
     ensure_checkpoints(train.sparkSession)  # every tenth round cuts its lineage there
     boosting = params.boosting
-    held_out = F.abs(F.xxhash64("search_id", F.lit(params.seed))) % 100 < boosting.holdout_percent
     codes = ", ".join(f"{name}_index + 0D AS {name}_code" for name in CATEGORICAL_FEATURES)
     ordinal = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
     features = VectorAssembler(
@@ -138,8 +157,9 @@ def fit_boosted(train: DataFrame, params: ModelParams = ModelParams()) -> Pipeli
         checkpointInterval=10,
         seed=params.seed,
     )
-    stages = [_imputer(train), _indexer(), ordinal, features, classifier]
-    return Pipeline(stages=stages).fit(train.withColumn("held_out", held_out))
+    stopping = held_out_share(params) if held_out is None else held_out
+    marked = train.withColumn("held_out", stopping)
+    return _fit_after(prepared or fit_preparation(train), [ordinal, features, classifier], marked)
 
 
 def fit_prior(train: DataFrame) -> PipelineModel:
@@ -169,15 +189,21 @@ class Candidate:
     model: PipelineModel
 
 
-def fit_candidate(name: str, train: DataFrame, params: ModelParams = ModelParams()) -> Candidate:
+def fit_candidate(
+    name: str,
+    train: DataFrame,
+    params: ModelParams = ModelParams(),
+    prepared: PipelineModel | None = None,
+) -> Candidate:
     if name == PRIOR:
         return Candidate(name, fit_prior(train))
     fit = {LOGISTIC: fit_logistic, BOOSTED: fit_boosted}[name]
-    return Candidate(name, fit(train, params))
+    return Candidate(name, fit(train, params, prepared))
 
 
 def fit_candidates(train: DataFrame, params: ModelParams = ModelParams()) -> list[Candidate]:
-    return [fit_candidate(name, train, params) for name in (PRIOR, LOGISTIC, BOOSTED)]
+    prepared = fit_preparation(train)
+    return [fit_candidate(name, train, params, prepared) for name in (PRIOR, LOGISTIC, BOOSTED)]
 
 
 def model_comparison(candidates: list[Candidate], validation: DataFrame) -> DataFrame:
@@ -249,3 +275,31 @@ def model_info(
         F.array(*map(F.lit, FEATURES)).alias("features"),
         F.create_map(*pairs).alias("test_metrics"),
     )
+
+
+def training_summary(
+    info: DataFrame, labelled: DataFrame, comparison: DataFrame, ranked_features: DataFrame
+) -> DataFrame:
+    """The metadata row with row counts of the splits, the candidates from best to worst and the
+    ten features whose permutation costs most. All inputs but the labelled rows are small."""
+
+    def best_first(frame: DataFrame, order: str, *names: str) -> Column:
+        part = F.struct(order, *names)
+        return frame.agg(F.sort_array(F.collect_list(part), asc=False)).scalar()
+
+    splits = labelled.groupBy("split").count()
+    counts = {
+        f"{name}_rows": splits.agg(
+            F.coalesce(F.sum(F.when(F.col("split") == name, F.col("count"))), F.lit(0))
+        ).scalar()
+        for name in ("train", "validation", "test")
+    }
+    top = F.slice(best_first(ranked_features, "importance_mean", "feature"), 1, 10)
+    return info.withColumns(
+        {
+            **counts,
+            "best_f1_threshold": F.col("threshold"),
+            "ranking": best_first(comparison, "pr_auc", "roc_auc", "model")["model"],
+            "top_features": top["feature"],
+        }
+    )

@@ -1,9 +1,9 @@
 """Exact quantiles without sorting, or collecting the values of, a whole group.
 
 Spark's ``percentile`` gathers every distinct value of a group in one task. Here the values are
-counted, the counts are laid over cells (equally wide in the logarithm of the distance from the
-lowest value, so that a long tail does not crowd the rest together), and only the cells that hold
-a wanted position are sorted.
+counted, the counts are laid over cells (a grid equally wide in the logarithm of the distance from
+the lowest value, cut again where an outlier or a narrow band crowds it), and only the cells that
+hold a wanted position are sorted.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfunnel.operators.cells import refined
+
 CELLS = 65_536
 
 
@@ -21,15 +23,12 @@ def _interpolate(low: Column, high: Column, weight: Column) -> Column:
     )
 
 
-def grouped_quantiles(
-    counts: DataFrame, by: str, probabilities: list[float], cells: int = CELLS
-) -> DataFrame:
-    """Linearly interpolated quantiles of (``by``, value, n) rows: (``by``, probability, quantile).
+def value_cells(counts: DataFrame, by: str, cells: int = CELLS) -> DataFrame:
+    """(``by``, value, n, group_n, cell) of (``by``, value, n) rows.
 
-    ``by`` is expected to have few values (feature names). The tables broadcast here have at most
-    one row per group (spans) or two per group and probability (positions), whatever the
-    data size; the cell histogram has at most ``cells`` rows per group.
+    The test on n is always true. It keeps n in every branch, whose shuffles are then reused.
     """
+    counts = counts.where(F.col("n") > 0)
     spans = counts.groupBy(by).agg(
         F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
@@ -37,10 +36,22 @@ def grouped_quantiles(
     )
     width = F.nullif(F.log1p(F.col("highest") - F.col("lowest")), F.lit(0.0))
     share = F.coalesce(F.log1p(F.col("value") - F.col("lowest")) / width, F.lit(0.0))
-    celled = counts.join(F.broadcast(spans), by).select(
-        by, "value", "n", "group_n", F.floor(share * (cells - 1)).alias("cell")
+    ranged = counts.join(spans, by)
+    return refined(ranged, "value", F.floor(share * (cells - 1)), cells, (by,)).select(
+        by, "value", "n", "group_n", "cell"
     )
 
+
+def grouped_quantiles(
+    counts: DataFrame, by: str, probabilities: list[float], cells: int = CELLS
+) -> DataFrame:
+    """Linearly interpolated quantiles of (``by``, value, n) rows: (``by``, probability, quantile).
+
+    Nothing is broadcast unasked: the small sides have one row per group (spans), two per group and
+    probability (positions), or one per cell, and their sizes decide at run time.
+    """
+    celled = value_cells(counts, by, cells)
+
     before = Window.partitionBy(by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     histogram = (
         celled.groupBy(by, "cell", "group_n")
@@ -67,7 +78,7 @@ def grouped_quantiles(
     )
     up_to = F.col("below") + F.sum("n").over(inside)
     hits = (
-        celled.join(F.broadcast(positions), [by, "cell"])
+        celled.join(positions, [by, "cell"])
         .withColumn("up_to", up_to)
         .where(
             (F.col("position") < F.col("up_to"))

@@ -56,19 +56,30 @@ def train_and_evaluate(
     predictions = spark.read.parquet(predictions_path)
 
     columns = {"score": "booking_probability", "label": TARGET}
-    metrics = evaluation.model_metrics(predictions, **columns)
-    thresholds = evaluation.threshold_analysis(predictions, **columns)
+
+    def saved(table: DataFrame, name: str) -> DataFrame:
+        path = f"{base}/tables/{name}"
+        table.write.mode("overwrite").parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
+    # each is computed once; exports and the summary read the small results back
+    metrics = saved(evaluation.model_metrics(predictions, **columns), "model_metrics")
+    thresholds = saved(evaluation.threshold_analysis(predictions, **columns), "threshold_analysis")
     best = evaluation.best_threshold(thresholds).first()["threshold"]
+    ranked_features = importance.permutation_importance(
+        test, lambda rows: models.probability(champion.model, rows), seed=params.seed
+    )
+    ranked_features = saved(ranked_features, "feature_importance")
+    labelled = features.label_split(dataset, dates)
+    info = models.model_info(champion.name, metrics, best)
     tables = {
         "test_metrics": evaluation.as_metric_rows(metrics),
         "threshold_analysis": thresholds,
         "decile_analysis": evaluation.decile_analysis(predictions, **columns),
         "top_decile_lift": evaluation.top_decile_lift(predictions, **columns),
         "calibration": evaluation.calibration(predictions, **columns),
-        "feature_importance": importance.permutation_importance(
-            test, lambda rows: models.probability(champion.model, rows), seed=params.seed
-        ),
-        "model_info": models.model_info(champion.name, metrics, best),
+        "feature_importance": ranked_features,
+        "model_info": models.training_summary(info, labelled, comparison, ranked_features),
     }
     for name in ("threshold_analysis", "decile_analysis", "calibration"):
         exports.export_csv(tables[name], f"{base}/{name}.csv", tables[name].columns[:1])
