@@ -69,6 +69,24 @@ def test_build_stops_before_exporting_when_a_check_fails(spark, inputs, j, tmp_p
     assert not out.exists()
 
 
+def test_build_stops_at_a_row_without_key(spark, j, tmp_path):
+    bad, out = tmp_path / "raw", tmp_path / "out"
+    for name, frame in j.raw_tables().items():
+        if name == "bookings":
+            first = F.col("booking_id") != frame.agg(F.min("booking_id")).first()[0]
+            frame = frame.withColumn("booking_id", F.when(first, F.col("booking_id")))
+        frame.write.parquet(raw.raw_path(str(bad), name))
+    with pytest.raises(quality.QualityError, match="'null_key_bookings': 1"):
+        build_warehouse(spark, str(bad), str(out), "wf_null_")
+    assert not out.exists()
+
+
+def test_staged_tables_have_names(spark, built, j):
+    for name, frame in j.staged_tables().items():
+        table = warehouse.open_table(spark, f"staging.{name}", PREFIX)
+        assert table.count() == frame.count() and table.columns == frame.columns
+
+
 def test_investigation_writes_tables_and_summary(spark, built, tmp_path):
     results = investigate(spark, str(tmp_path), PREFIX, SUPPLY, CHECKOUT)
     segments = spark.read.option("header", True).csv(f"{tmp_path}/segment_performance.csv")
@@ -89,6 +107,11 @@ def test_modelling_stage(spark, j, tmp_path):
     assert result.tables["feature_importance"].count() == 18
     info = document(spark, f"{tmp_path}/model_info.json")
     assert info["threshold"] == result.threshold and len(info["features"]) == 18
+    assert info["best_f1_threshold"] == result.threshold
+    rows = info["train_rows"] + info["validation_rows"] + info["test_rows"]
+    assert rows == j.dataset.count()
+    assert info["ranking"][0] == result.champion and len(info["ranking"]) == 3
+    assert len(info["top_features"]) == 10
 
     requests = scoring_requests(j.dataset)
     assert published(spark, str(tmp_path)) == (result.champion, result.threshold)

@@ -209,6 +209,16 @@ def contract_violations(report: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [*named, *counted])
 
 
+def null_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """(check, violations): rows without a primary key, one column scan per contract table."""
+    parts = []
+    for name, dataset in CONTRACT.items():
+        lost = F.count_if(F.col(dataset.primary_key).isNull())
+        counted = tables[name].agg(lost.alias("violations"))
+        parts.append(counted.select(F.lit(f"null_key_{name}").alias("check"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def enforce_columns(tables: dict[str, DataFrame]) -> None:
     """Raise on absent tables or columns, from the schemas alone. Narrower types are cast later."""
     problems = [name for name in CONTRACT if name not in tables]

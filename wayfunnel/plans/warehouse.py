@@ -66,17 +66,25 @@ def build_warehouse(
     rule: AlertRule = AlertRule(),
     partition_funnel_by: Sequence[str] = ("search_date",),
 ) -> dict[str, DataFrame]:
-    """Run the whole stage and return the written tables by name.
+    """Run the whole stage and return the written marts by name.
 
-    The funnel and the daily funnel are written before anything reads them. Checks run before any
+    The staged tables are written first, typed, under their names in the staging layer; everything
+    after reads those. A row without its key stops the build there. The funnel and the daily funnel are written before anything reads them. Checks run before any
     export and stop the build. The funnel is partitioned by day, which prunes the scans of incident
     and date ranges; pass ``()`` for a few days of data.
     """
     tables = raw.read_raw(spark, raw_directory)
     quality.enforce_columns(tables)
     raw.register_raw_views(tables)
-    staged = staging.stage_all(tables)
     warehouse.create_layers(spark, prefix)
+    staged = run_together(
+        spark,
+        {
+            name: partial(warehouse.save_table, frame, f"staging.{name}", prefix)
+            for name, frame in staging.stage_all(tables).items()
+        },
+    )
+    quality.run_checks(quality.null_key_checks(staged))
 
     search_funnel = warehouse.save_table(
         build_funnel(staged), "analytics.search_funnel", prefix, partition_funnel_by
