@@ -22,9 +22,13 @@ def two_sided_p(z: Column) -> Column:
 
     Spark SQL has none. Up to 2 it is one minus the error function's series, from there on a
     continued fraction, which keeps the relative precision of small tails. Both have a fixed
-    number of terms, beyond what a double can tell, as plain column arithmetic.
+    number of terms, beyond what a double can tell. The one-element array binds the argument: as
+    plain columns each term would hold, and the optimizer visit, a copy of how z is computed.
     """
-    x = F.abs(z.cast("double")) / math.sqrt(2)
+    return F.transform(F.array(F.abs(z.cast("double")) / math.sqrt(2)), _complement)[0]
+
+
+def _complement(x: Column) -> Column:
     series, twice = F.lit(1.0), 2 * x * x
     for n in range(45, 0, -1):
         series = 1 + twice / (2 * n + 1) * series
