@@ -21,8 +21,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters of which a learnt language makes up at least a quarter."""
-    return language.keep_known(docs, learnt_languages(), least=0.25)
+    """Documents of which the learnt languages make up at least half, and background the rest."""
+    return language.keep_known(docs, learnt_languages())
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,6 +144,31 @@ def test_a_mixture_has_both_its_languages(spark):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
 
 
+def test_only_text_of_learnt_languages_is_kept(spark):
+    sf = "/root/testdata/sf0.01"
+    known = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    rows = known.where("length(text) > 400").orderBy("doc_id").limit(200).collect()
+    clean = {k: [r["text"] for r in rows if r["lang"] == k][:5] for k in ("en", "fr", "de", "es")}
+    draw = random.Random(6)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van, ésszel és lelkiismerettel bír.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(60)),
+        " ".join("".join(draw.choice("qxzjkwv") for _ in range(5)) for _ in range(200)),
+        "12 !?", "", None,
+    ]
+    both = [f"{clean['en'][0][:300]} {clean['fr'][0][:300]}", " ".join(v[0][:300] for v in clean.values())]
+    both += [f"{clean['de'][1][:400]} {foreign[0]}"]
+    good = [text for texts in clean.values() for text in texts] + both
+    # the asked rows have no language, so nothing is learnt from them
+    asked = [(10**9 + i, text, None) for i, text in enumerate(good + foreign)]
+    frame = known.unionByName(spark.createDataFrame(asked, known.schema))
+    kept = language.keep_known(frame, F.col("lang").isNotNull()).where("lang IS NULL")
+    assert {r["doc_id"] - 10**9 for r in kept.collect()} == set(range(len(good)))
+
+
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_matches_its_sql(spark, name):
     assert differences(spark, duck(SF), SF, queries.queries()[name], oracle.oracle_sql()[name]) == []

@@ -31,20 +31,38 @@ def _letters() -> np.ndarray:
     return table
 
 
-def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The text number and bucket of each trigram around a letter, in order of the texts."""
+def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The text number and the three bytes of each trigram around a letter, in order of the texts."""
     encoded = [(text or "").lower().encode() for text in texts]
     data = np.frombuffer(b"\n" + b"\n".join(encoded) + b"\n", np.uint8)
     letters = _letters()[data]
     middle = np.flatnonzero(letters)
     code = (letters[middle - 1] << 16) | (letters[middle] << 8) | letters[middle + 1]
-    bucket = (code * np.uint32(2654435761)) >> np.uint32(16)
     ends = np.cumsum([len(e) + 1 for e in encoded])
-    return np.searchsorted(ends, middle, side="left").astype(np.int64), bucket.astype(np.int64)
+    return np.searchsorted(ends, middle, side="left").astype(np.int64), code
+
+
+def _buckets(code: np.ndarray) -> np.ndarray:
+    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
+
+
+def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The text number and bucket of each trigram around a letter, in order of the texts."""
+    row, code = _codes(texts)
+    return row, _buckets(code)
+
+
+def _tally(texts: list[str | None]) -> np.ndarray:
+    """How often each bucket occurs, then each byte as a middle letter; byte 0: gaps before one."""
+    code = _codes(texts)[1]
+    letters = np.bincount((code >> 8) & 255, minlength=256)
+    letters[0] = np.count_nonzero(code < 1 << 16)
+    return np.concatenate([np.bincount(_buckets(code), minlength=BUCKETS), letters])
 
 
 def gram_counts(documents: DataFrame, text: str, language: str) -> DataFrame:
-    """(language, bucket, n) over whole texts; each task adds up before it sends anything."""
+    """(language, bucket, n) over whole texts, letters after the buckets; each task adds up before
+    it sends anything."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -63,9 +81,9 @@ def gram_counts(documents: DataFrame, text: str, language: str) -> DataFrame:
             for one, name in zip(texts, names, strict=True):
                 groups.setdefault(name, []).append(one)
             for name, group in groups.items():
-                found = totals.setdefault(name, np.zeros(BUCKETS, np.int64))
+                found = totals.setdefault(name, np.zeros(BUCKETS + 256, np.int64))
                 for start in range(0, len(group), 256):
-                    found += np.bincount(grams(group[start : start + 256])[1], minlength=BUCKETS)
+                    found += _tally(group[start : start + 256])
                 if len(totals) >= 64:
                     yield from rows()
         yield from rows()
@@ -79,24 +97,51 @@ def gram_counts(documents: DataFrame, text: str, language: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Languages in alphabetical order and the chance of each bucket in each language."""
+    """Languages in alphabetical order and the chance of each bucket in each language; in
+    background, in text of none of them: its letters drawn one by one, and all buckets alike."""
 
     languages: tuple[str, ...]
     chance: np.ndarray = field(repr=False)
+    background: np.ndarray = field(repr=False)
+
+
+def _background(letters: np.ndarray) -> np.ndarray:
+    """From a column of letter counts per language, the chance of each bucket if letters and gaps
+    come independently, averaged over the languages, and the same chance for every bucket."""
+    found = np.full((BUCKETS, 2), 1 / BUCKETS)
+    left, right = np.meshgrid(np.arange(256, dtype=np.uint32), np.arange(256, dtype=np.uint32), indexing="ij")
+    seen = [np.flatnonzero(column[1:]) + 1 for column in letters.T]
+    models = []
+    for column, used in zip(letters.T, seen, strict=True):
+        middle = column / max(1, column[1:].sum())
+        gap = min(1.0, middle[0])
+        side = middle * (1 - gap)
+        side[0] = gap
+        beside = np.outer(side, side)
+        model = np.zeros(BUCKETS)
+        for letter in used.tolist():
+            code = (left << 16) | np.uint32(letter << 8) | right
+            model += np.bincount(_buckets(code).ravel(), (middle[letter] * beside).ravel(), BUCKETS)
+        models.append(model)
+    if models:
+        found[:, 0] = np.mean(models, axis=0)
+    # never zero, so that its logarithm is finite
+    return (0.999 * found + 0.001 / BUCKETS).astype(np.float32)
 
 
 def learn(
     documents: DataFrame, *, text: str = "text", language: str = "lang", smoothing: float = 0.5
 ) -> Profiles:
-    """Profiles from all rows with a text and a language. At most 65,536 numbers per language come
+    """Profiles from all rows with a text and a language. At most 65,792 numbers per language come
     to the driver; the number of languages is that of the language codes in the column."""
     counts = gram_counts(documents, text, language).toPandas()
     languages = tuple(sorted(counts["language"].unique()))
-    table = np.zeros((BUCKETS, len(languages)))
+    table = np.zeros((BUCKETS + 256, len(languages)))
     columns = np.searchsorted(np.array(languages, dtype=object), counts["language"].to_numpy())
     table[counts["bucket"].to_numpy(np.int64), columns.astype(np.int64)] = counts["n"].to_numpy()
-    table += smoothing
-    return Profiles(languages, (table / table.sum(axis=0)).astype(np.float32))
+    table, letters = table[:BUCKETS] + smoothing, table[BUCKETS:]
+    chance = (table / table.sum(axis=0)).astype(np.float32)
+    return Profiles(languages, chance, _background(letters))
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -104,11 +149,22 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def mixtures(
-    texts: list[str | None], profiles: Profiles, *, charge: float, steps: int
+    texts: list[str | None],
+    profiles: Profiles,
+    *,
+    charge: float,
+    steps: int,
+    background: bool = False,
 ) -> np.ndarray:
-    """Proportions of the languages per text; zeros where there is no letter."""
-    shares = np.zeros((len(texts), len(profiles.languages)))
-    if not len(profiles.languages):
+    """Proportions of the languages per text; zeros where there is no letter.
+
+    With background, text of no learnt language may take a part of its own, and proportions sum
+    to 1 less that part. To be all of a text, it has to be likelier by the charge of a language.
+    """
+    size = len(profiles.languages)
+    chances = np.hstack([profiles.chance, profiles.background]) if background else profiles.chance
+    shares = np.zeros((len(texts), size))
+    if not size:
         return shares
     row, bucket = grams(texts)
     if not len(row):
@@ -123,20 +179,21 @@ def mixtures(
     weight = count[:, None]
     total = _sums(count, starts)
     charges = charge * np.log1p(total)
-    single = _sums(weight * np.log(profiles.chance)[bucket], starts)
-    chosen = single.argmax(axis=1)[:, None]
-    likelihood = single.max(axis=1)
+    single = _sums(weight * np.log(chances)[bucket], starts)
+    handicap = np.where(np.arange(chances.shape[1]) < size, 0, charges[:, None])
+    chosen = (single - handicap).argmax(axis=1)[:, None]
+    likelihood = np.take_along_axis(single, chosen, axis=1)[:, 0]
     found = np.zeros_like(single)
     np.put_along_axis(found, chosen, 1.0, axis=1)
     open_rows = np.arange(len(starts))
     ends = np.append(starts[1:], len(key))
-    while len(open_rows) and chosen.shape[1] < len(profiles.languages):
+    while len(open_rows) and chosen.shape[1] < chances.shape[1]:
         # the trigrams of the texts that may still gain a language
         sizes = (ends - starts)[open_rows]
         first = np.cumsum(sizes) - sizes
         where = np.repeat(starts[open_rows] - first, sizes) + np.arange(sizes.sum())
         owner = np.repeat(np.arange(len(open_rows)), sizes)
-        chance, weight = profiles.chance[bucket[where]], count[where]
+        chance, weight = chances[bucket[where]], count[where]
         mixed = (found[open_rows].astype(np.float32)[owner] * chance).sum(axis=1)
         gain = _sums((weight / mixed)[:, None] * chance, first) / total[open_rows][:, None]
         gain[found[open_rows] > 0] = 0
@@ -158,7 +215,7 @@ def mixtures(
         rows = np.repeat(kept[:, None], candidate.shape[1], axis=1)
         found[rows, candidate[better]] = share[better]
         chosen, open_rows = candidate[better], kept
-    shares[texts_with] = found / found.sum(axis=1, keepdims=True)
+    shares[texts_with] = (found / found.sum(axis=1, keepdims=True))[:, :size]
     return shares
 
 
@@ -203,13 +260,21 @@ def keep_known(
     text: str = "text",
     language: str = "lang",
     least: float = 0.5,
-    **detection,
+    charge: float = 4.0,
+    steps: int = 12,
 ) -> DataFrame:
-    """The documents, all columns, of which one learnt language makes up the least proportion."""
+    """The documents, all columns, of which the learnt languages together make up the least
+    proportion; the rest is background. So a text in several of them stays, one in another
+    language or without words goes, and the number of languages does not matter."""
     profiles = learn(documents.where(trained), text=text, language=language)
-    wanted = ("lang_pred", "score", "mixture")
-    names = tuple(fresh(name, documents.columns) for name in wanted)
-    found = detect(
-        documents, profiles, text=text, carry=documents.columns, names=names, **detection
+
+    def work(texts: list[str | None]) -> list[pa.Array]:
+        shares = mixtures(texts, profiles, charge=charge, steps=steps, background=True).sum(axis=1)
+        letters = np.array([bool(text and LETTER.search(text)) for text in texts], bool)
+        return [pa.array(letters & (shares > 0) & (shares >= least - 1e-9))]
+
+    name = fresh("known", documents.columns)
+    found = map_texts(
+        documents, text, documents.columns, f"`{name}` boolean", work, at_once=2_000_000
     )
-    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).drop(*names)
+    return found.where(F.col(name)).drop(name)
