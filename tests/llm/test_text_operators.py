@@ -216,6 +216,32 @@ def test_mixing_reaches_its_targets(spark):
     assert mixing.mixed_documents(frame.withColumn("text", F.lit(None).cast("string"))).count() > 0
 
 
+def test_mixing_reaches_targets_far_from_the_volumes(spark):
+    rows = [(i, "x" * 100, "big" if i % 1000 else "rare") for i in range(100_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    rates = mixing.source_rates(frame, targets={"rare": 0.5, "big": 0.5})
+    rate = {r["source"]: r["rate"] for r in rates.collect()}
+    assert rate["rare"] == pytest.approx(500) and rate["big"] == pytest.approx(0.5, rel=0.01)
+    mixed = mixing.mix(frame, rates)
+    sizes = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert sizes["rare"] == pytest.approx(50_000, rel=0.02) and sizes["big"] == pytest.approx(50_000, rel=0.02)
+    copies = [r["n"] for r in mixed.where("source = 'rare'").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.countDistinct("copy").alias("d"), F.max("copy").alias("m")
+    ).where("n = d AND m = n - 1").collect()]
+    assert len(copies) == 100 and np.var(copies) == pytest.approx(500, rel=0.5)
+    assert mixing.mix(frame, rates).groupBy("copy").count().exceptAll(mixed.groupBy("copy").count()).count() == 0
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.3, 64.0, 150.0, 3000.0, 3e7])
+def test_poisson_steps_at_any_rate(rate):
+    fewest, steps = mixing.poisson_steps(rate)
+    chance = np.diff([0.0, *steps])
+    copies = fewest + np.arange(len(steps))
+    assert steps[-1] == 1 and (chance >= 0).all()
+    assert chance @ copies == pytest.approx(rate, rel=1e-9)
+    assert chance @ (copies - rate) ** 2 == pytest.approx(rate, rel=1e-6)
+
+
 def test_quality_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     scored = queries.op6_quality(spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out")

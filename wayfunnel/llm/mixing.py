@@ -3,21 +3,27 @@
 A source's repetition rate is its target volume over its volume. Each document gets a number of
 copies from the Poisson distribution of that mean: the inverse distribution function at a uniform
 number that is a hash of seed and key, so that a run repeats exactly. Copies are then dealt to
-partitions and sorted by another hash, which shuffles them globally in one exchange.
+partitions and sorted by another hash, which shuffles them globally in one exchange; documents of
+sources with large rates are first spread in parts of their copies.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfunnel.llm.common import fresh, written
 
 # 13 hexadecimal digits: as many bits as a double holds exactly
 DIGITS = 13
+# copies of a document that one row makes, and steps of a source whose copies need no spreading
+PART, STEPS_IN_PLACE = 64, 100
 
 
 def uniform(*parts: Column) -> Column:
@@ -27,21 +33,34 @@ def uniform(*parts: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(16**DIGITS)
 
 
-def poisson_steps(rate: Column, largest_rate: float) -> Column:
-    """Cumulative probabilities of 0, 1, 2 ... copies, as far as doubles tell them from 1."""
-    most = math.ceil(largest_rate + 12 * math.sqrt(largest_rate) + 25)
-    # (probability of k copies, all sums so far)
-    start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("sums"))
+def poisson_steps(rate: float) -> tuple[int, list[float]]:
+    """A number of copies that no draw goes below, and the cumulative probabilities of that many
+    and of one more each, as far as doubles tell them from 1.
+
+    About 24 square roots of the rate: worked out by ratios around the mean, so that no probability
+    underflows whatever the rate.
+    """
+    spread = 12 * math.sqrt(rate) + 25
+    first, last = max(0, math.floor(rate - spread)), math.ceil(rate + spread)
+    if rate <= 0:
+        return 0, [1.0]
+    logs = np.concatenate(([0.0], np.cumsum(np.log(rate / np.arange(first + 1, last + 1)))))
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return first, (sums / sums[-1]).tolist()
 
-    def extend(state: Column, k: Column) -> Column:
-        p = state["p"] * rate / k
-        return F.struct(
-            p.alias("p"),
-            F.concat(state["sums"], F.array(F.element_at(state["sums"], -1) + p)).alias("sums"),
-        )
 
-    counts = F.sequence(F.lit(1), F.lit(most)).cast("array<double>")
-    return F.aggregate(counts, start, extend)["sums"]
+def with_steps(rates: DataFrame) -> DataFrame:
+    """The rates with fewest (copies) and steps, a row at a time."""
+    schema = StructType(rates.schema.fields + StructType.fromDDL("fewest long, steps array<double>").fields)
+
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, rate in enumerate(batch.column("rate").to_pylist()):
+                fewest, steps = poisson_steps(rate)
+                made = [pa.array([fewest], pa.int64()), pa.array([steps], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns, *made], schema.names)
+
+    return rates.mapInArrow(worked, schema)
 
 
 def source_rates(
@@ -52,13 +71,13 @@ def source_rates(
     targets: Mapping[str, float] | None = None,
     volume: float = 1.0,
     power: float = 0.5,
-    largest_rate: float = 64.0,
 ) -> DataFrame:
-    """(source, n_bytes, rate, steps): one row per source, null being a source of its own.
+    """(source, n_bytes, rate, fewest, steps): one row per source, null being a source of its own.
 
     targets are relative weights; sources that it does not name get none. Without targets a
     source's weight is its UTF-8 bytes to the given power. volume is the size of the mix relative
-    to the input. A source without bytes has rate 1, and no rate exceeds largest_rate.
+    to the input. A source without bytes has rate 1; a small source's rate is as large as its target
+    asks for.
     """
     n_bytes = F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")
     sizes = documents.groupBy(F.col(source).alias("source")).agg(F.sum(n_bytes).alias("n_bytes"))
@@ -78,10 +97,10 @@ def source_rates(
     )
     share = F.col("weight") / totals.select("all").scalar()
     wanted = share * totals.select("all_bytes").scalar() * volume
-    rate = F.when(F.col("n_bytes") > 0, F.least(wanted / F.col("n_bytes"), F.lit(largest_rate)))
+    rate = F.when(F.col("n_bytes") > 0, wanted / F.col("n_bytes"))
     rated = weighted.select("source", "n_bytes", F.coalesce(rate, F.lit(1.0)).alias("rate"))
     # written, so that its size is known when the join with the documents is planned
-    return written(rated.withColumn("steps", poisson_steps(F.col("rate"), largest_rate)), "rates")
+    return written(with_steps(rated), "rates")
 
 
 def mix(
@@ -100,19 +119,38 @@ def mix(
     Rows with one key draw the same number; a null key is hashed like an empty one. A null source
     matches the null source's rate, and a document whose source has no rate goes.
     """
-    rate = rates.select(F.col("source").alias("_source"), F.col("steps").alias("_steps"))
-    joined = documents.join(rate, F.col(source).eqNullSafe(F.col("_source")))
-    drawn = uniform(F.lit(seed), F.col(key))
-    # copies: how many cumulative probabilities the draw has reached. The draw is bound once by the
-    # outer function; named in a column, it would be worked out for every step.
-    reached = F.transform(
-        F.array(drawn), lambda u: F.size(F.filter("_steps", lambda s: s <= u))
+    rate = rates.select(
+        F.col("source").alias("_source"), F.col("fewest").alias("_fewest"), F.col("steps").alias("_steps")
     )
-    names = documents.columns
-    copies = joined.select(
-        *[F.col(f"`{name}`") for name in names],
-        F.posexplode(F.array_repeat(F.lit(True), F.get(reached, F.lit(0)))).alias(copy, "_one"),
-    ).drop("_one")
+    names = [F.col(f"`{name}`") for name in documents.columns]
+
+    def drawn_copies(rate: DataFrame) -> DataFrame:
+        """The documents of the sources with their number of copies."""
+        joined = documents.join(rate, F.col(source).eqNullSafe(F.col("_source")))
+        drawn = uniform(F.lit(seed), F.col(key))
+        # copies: how many cumulative probabilities the draw has reached. The draw is bound once by
+        # the outer function; named in a column, it would be worked out for every step.
+        reached = F.transform(
+            F.array(drawn), lambda u: F.size(F.filter("_steps", lambda s: s <= u))
+        )
+        copies = (F.col("_fewest") + F.get(reached, F.lit(0))).cast("int")
+        return joined.select(*names, copies.alias("_copies"))
+
+    def numbered(drawn: DataFrame, first: Column, size: Column) -> DataFrame:
+        repeated = F.posexplode(F.array_repeat(F.lit(True), size)).alias("_number", "_one")
+        found = drawn.select(*names, first.alias("_first"), repeated)
+        return found.select(*names, (F.col("_first") + F.col("_number")).alias(copy))
+
+    # a document of a source with many copies goes out in parts of bounded size, over all tasks
+    many = F.size("_steps") > STEPS_IN_PLACE
+    copies = numbered(drawn_copies(rate.where(~many)), F.lit(0), F.col("_copies"))
+    if not rate.where(many).isEmpty():
+        starts = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(PART))).alias("_start")
+        parts = drawn_copies(rate.where(many)).where("_copies > 0").select(*names, "_copies", starts)
+        tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = parts.repartition(tasks, F.xxhash64(F.col(key), F.col("_start")))
+        size = F.least(F.lit(PART), F.col("_copies") - F.col("_start"))
+        copies = copies.unionByName(numbered(parts, F.col("_start"), size))
     copies = copies.withColumn(order, uniform(F.lit(seed + 1), F.col(key), F.col(copy)))
     cell = F.floor(F.col(order) * 1_000_000)
     return copies.repartition(cell).sortWithinPartitions(order)
