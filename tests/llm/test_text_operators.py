@@ -197,6 +197,48 @@ def test_licence_join_equals_all_comparisons(spark):
     assert (null["n_words"], null["first_word"], null["labels"], null["score"]) == (0, None, "", 0.0)
 
 
+def brute_notices(words):
+    found = set()
+    for notice in licences.NOTICES:
+        own, required = notice.words(), set(notice.required.split())
+        for start in range(len(words)):
+            if not required and words[start : start + len(own)] == own:
+                found.add(notice.label)
+            for end in range(start + 1, min(start - (-5 * len(own) // 4), len(words)) + 1):
+                held = set(words[start:end])
+                if required and required <= held and not held & set(notice.without.split()):
+                    if len(held & set(own)) >= 0.8 * len(set(own)) - 1e-9:
+                        found.add(notice.label)
+    return found
+
+
+def test_notices_tell_licences_apart_across_lines(spark):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not\n * distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    gnu = "under the terms of the GNU %s General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    asked = {
+        "Licensed under CC BY 4.0.": "cc-by-4.0", "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "CC BY-NC-SA 4.0": "cc-by-nc-sa-4.0", "CC BY-NC 4.0.\nND x": "cc-by-nc-4.0",
+        "Released under the BSD License.": "bsd", "Released under the Apache License.": "",
+        "Released under the MIT License.": "mit", "the mit\nlicense": "mit",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "This work is licensed under the GNU Lesser General Public License version 3": "lgpl-3.0",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0",
+        "x " * 50 + mpl: "mpl-2.0", licences._MIT.replace(" ", "\n", 20): "mit",
+        "# This program is free software: you can redistribute it and/or modify it\n# " + gnu % "": "gpl-3.0",
+        "# This program is free software: you can redistribute it and/or modify it\n# " + gnu % "Affero": "agpl-3.0",
+    }
+    draw = random.Random(5)
+    texts = list(asked)
+    for notice in licences.NOTICES[:30]:
+        words = [w for w in notice.words() if draw.random() > 0.07]
+        texts.append("\n".join(draw.choice([words[i], f"{words[i]} lesser", f"cat {words[i]}", words[i]]) for i in range(len(words))))
+    rows = licences.scan(documents(spark, texts), carry=["doc_id"], templates=(), notices=licences.NOTICES).collect()
+    for row in rows:
+        text, found = texts[row["doc_id"]], {m["label"] for m in row["matches"]}
+        assert found == brute_notices([w.decode() for w in licences.WORD.findall(text.lower().encode())])
+        assert text not in asked or found == set(filter(None, [asked[text]])), text
+
+
 def test_mixing_reaches_its_targets(spark):
     rows = [(i, "x" * 10, "big" if i % 4 else None) for i in range(20_000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")

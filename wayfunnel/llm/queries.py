@@ -53,7 +53,9 @@ def op3_packing(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op4_licences(spark: SparkSession, directory: str) -> DataFrame:
-    scanned = licences.scan(table(spark, directory, "documents"), carry=["doc_id"])
+    scanned = licences.scan(
+        table(spark, directory, "documents"), carry=["doc_id"], templates=(), notices=licences.NOTICES
+    )
     return licences.summary(scanned, ["doc_id"])
 
 
