@@ -127,10 +127,87 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+
+# CRC-32 of the decimal document id, bit by bit.
+CRC32 = """xor(list_reduce(
+  list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda state, byte: list_reduce([xor(state, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda x, bit: xor(x >> 1, (x & 1) * 3988292384)), 4294967295::BIGINT), 4294967295)"""
+
+
+def _manifest_sql(levels: int = 6, top_levels: int = 4) -> str:
+    """The trees level by level; so many levels hold 16 ** levels leaves a source, and as many
+    sources as 16 ** top_levels."""
+
+    def tree(name: str, height: int) -> list[str]:
+        parts = []
+        for i in range(height):
+            parts.append(f"""{name}_runs{i} AS (
+  SELECT tree, pos // 16 AS pos, max(held) AS held, list(digest ORDER BY pos) AS run
+  FROM {name}{i} GROUP BY tree, pos // 16
+), {name}{i + 1} AS (
+  SELECT tree, pos, (held + 15) // 16 AS held,
+         CASE WHEN held > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS digest
+  FROM {name}_runs{i}
+)""")
+        return parts
+
+    def folds(name: str, height: int, start: str, source: str) -> list[str]:
+        parts, before = [], source
+        for i in range(height):
+            at = f"(p // {16**i}) % 16"
+            left = f"array_to_string(r.run[1:{at}], '')"
+            right = f"array_to_string(r.run[{at} + 2:], '')"
+            parts.append(f"""{name}_fold{i} AS (
+  SELECT b.* EXCLUDE (proof, folded),
+    CASE WHEN r.held > 1 THEN b.proof || {left} || {right} ELSE b.proof END AS proof,
+    CASE WHEN r.held > 1 THEN sha256({left} || b.folded || {right}) ELSE b.folded END AS folded
+  FROM (SELECT *, {start} AS p FROM {before}) b
+  JOIN {name}_runs{i} r ON r.tree = b.{name}_tree AND r.pos = b.p // {16 ** (i + 1)}
+)""")
+            before = f"(SELECT * EXCLUDE (p) FROM {name}_fold{i})"
+        return parts
+
+    one = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    head = " || ".join(one.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    claimed = f"CASE WHEN {CRC32} % 5 = 0 THEN {lowered} ELSE text END"
+    parts = [
+        f"""leaves AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, sha256({head} || {one.format("text")}) AS digest,
+         sha256({head} || {one.format(f"({claimed})")}) AS claimed
+  FROM documents
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS held
+  FROM leaves
+), low0 AS (SELECT tree, pos, held, digest FROM numbered)""",
+        *tree("low", levels),
+        f"""subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place FROM low{levels}
+), top0 AS (
+  SELECT 0 AS tree, place AS pos, (SELECT count(*) FROM subroots) AS held, digest FROM subroots
+)""",
+        *tree("top", top_levels),
+        """started AS (
+  SELECT n.doc_id, n.digest AS leaf, n.pos, n.tree AS low_tree, 0 AS top_tree, s.place,
+         s.digest AS subroot, '' AS proof, n.claimed AS folded
+  FROM numbered n JOIN subroots s USING (tree)
+)""",
+        *folds("low", levels, "pos", "started"),
+        *folds("top", top_levels, "place", f"(SELECT * EXCLUDE (p) FROM low_fold{levels - 1})"),
+    ]
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = t.digest AS verified
+FROM top_fold{top_levels - 1}, top{top_levels} t"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_licences": LICENCES,
         "op5_mixing": MIXING,
         "op9_warc": WARC,
         "op10_top_k": TOP_K,
+        "op11_manifest": _manifest_sql(),
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wayfunnel.llm import (
     language,
     licences,
+    manifest,
     mixing,
     near_duplicates,
     nearest,
@@ -20,7 +21,7 @@ from wayfunnel.llm import (
     top_k,
     warc,
 )
-from wayfunnel.llm.common import crc_of_id, scratch, table
+from wayfunnel.llm.common import crc_of_id, lower_ascii, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,30 @@ def op10_top_k(spark: SparkSession, directory: str) -> DataFrame:
     return top_k.top_k(table(spark, directory, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op11_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents")
+    text = F.col("text")
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    # tampering lower-cases the texts of a fifth of the rows
+    lowered = F.when(text.isNotNull(), lower_ascii(text))
+    tampered = F.coalesce(crc_of_id("doc_id") % 5 == 0, F.lit(False))
+    leaf = manifest.leaf_digest(*before, text)
+    claimed = F.when(tampered, manifest.leaf_digest(*before, lowered)).otherwise(leaf)
+    proofs = manifest.manifest(
+        documents, leaf, key="doc_id", group="source", carry={"claimed": claimed}
+    )
+    proofs = proofs.withColumn("folded_root", manifest.folded(F.col("claimed"), F.col("witness")))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -109,4 +134,5 @@ def queries() -> dict[str, Query]:
         "op8_nearest": op8_nearest,
         "op9_warc": op9_warc,
         "op10_top_k": op10_top_k,
+        "op11_manifest": op11_manifest,
     }
