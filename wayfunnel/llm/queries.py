@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfunnel.llm import (
@@ -16,6 +16,7 @@ from wayfunnel.llm import (
     near_duplicates,
     nearest,
     packing,
+    periodic_runs,
     quality,
     token_counts,
     top_k,
@@ -122,6 +123,42 @@ def op11_manifest(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def with_repeats(text: Column, key: str = "doc_id") -> Column:
+    """Texts of a tenth of the documents, whose words from some place on repeat from there."""
+    crc = crc_of_id(key)
+    g = F.floor(crc / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    n = F.size(words)
+    start = (g % n).cast("int")
+    period = (F.floor((n - start) / (3 + g % 8)) + 1).cast("int")
+    times = F.ceil((n - start) / period).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(words, start + 1, period), times))
+    changed = F.concat(F.slice(words, F.lit(1), start), F.slice(repeated, F.lit(1), n - start))
+    return F.when((crc % 10 == 0) & (n > 0), F.array_join(changed, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents")
+    repeating = documents.select("doc_id", with_repeats(F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(repeating, carry=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    best = F.array_min(longest)
+    length, period = -best["col1"], best["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit("\n"))), ""), 256).alias(
+            "runs_sha256"
+        ),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -135,4 +172,5 @@ def queries() -> dict[str, Query]:
         "op9_warc": op9_warc,
         "op10_top_k": op10_top_k,
         "op11_manifest": op11_manifest,
+        "op12_periodic_runs": op12_periodic_runs,
     }
