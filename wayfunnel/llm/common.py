@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,6 +71,32 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def numbered(frame: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """The rows, written, with `position` (from 0) in their group and `held`, its number of rows.
+
+    Rows are dealt by ranges of group and order, so a group of any size spreads over tasks; only
+    one row per group and range is summed over ranges. Groups must not be null; in the order nulls
+    come first, and equal rows stand in any order. The frame should be a written table.
+    """
+    tie = fresh("tie", frame.columns)
+    row = fresh("row", frame.columns)
+    keys = [group, *order, tie]
+    ranged = frame.withColumn(tie, F.xxhash64(F.monotonically_increasing_id()))
+    ranged = ranged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
+    laid = written(ranged.withColumn(row, F.monotonically_increasing_id()), name)
+    part = F.shiftright(row, 33)
+    before = Window.partitionBy("t").orderBy("part")
+    places = (
+        laid.groupBy(F.col(group).alias("t"), part.alias("part"))
+        .agg(F.count("*").alias("n"), F.min(row).alias("first"))
+        .withColumn("held", F.sum("n").over(Window.partitionBy("t")))
+        .withColumn("offset", F.sum("n").over(before) - F.col("n") - F.col("first"))
+        .select("t", "part", "held", "offset")
+    )
+    placed = laid.join(places, (laid[group] == places["t"]) & (part == places["part"]))
+    return placed.withColumn("position", F.col(row) + F.col("offset")).drop(row, "t", "part", "offset")
+
+
 def map_texts(
     frame: DataFrame,
     text: str,

@@ -19,9 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
-from wayfunnel.llm.common import fresh, written
+from wayfunnel.llm.common import fresh, numbered, written
 
 ARITY = 16
 LEVELS = 2  # of a block
@@ -103,31 +102,6 @@ def _grown(block: pa.Table, witnesses: bool) -> tuple[OpenTree, str]:
     return tree, tree.close()
 
 
-def numbered(frame: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
-    """The rows, written, with `position` (from 0) and `held` (rows of the tree) in each tree.
-
-    Rows are dealt by ranges of tree and order, so a tree of any size spreads over tasks; only one
-    row per tree and range is summed over ranges. Nulls come first; equal rows in any order.
-    """
-    tie = fresh("tie", frame.columns)
-    row = fresh("row", frame.columns)
-    keys = [tree, *order, tie]
-    ranged = frame.withColumn(tie, F.xxhash64(F.monotonically_increasing_id()))
-    ranged = ranged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
-    laid = written(ranged.withColumn(row, F.monotonically_increasing_id()), name)
-    part = F.shiftright(row, 33)
-    before = Window.partitionBy("t").orderBy("part")
-    places = (
-        laid.groupBy(F.col(tree).alias("t"), part.alias("part"))
-        .agg(F.count("*").alias("n"), F.min(row).alias("first"))
-        .withColumn("held", F.sum("n").over(Window.partitionBy("t")))
-        .withColumn("offset", F.sum("n").over(before) - F.col("n") - F.col("first"))
-        .select("t", "part", "held", "offset")
-    )
-    placed = laid.join(places, (laid[tree] == places["t"]) & (part == places["part"]))
-    return placed.withColumn("position", F.col(row) + F.col("offset")).drop(row, "t", "part", "offset")
-
-
 def _block(position: str = "position") -> Column:
     return F.floor(F.col(position) / BLOCK).cast("long").alias("block")
 

@@ -18,6 +18,7 @@ from wayfunnel.llm import (
     packing,
     periodic_runs,
     quality,
+    signature_join,
     token_counts,
     top_k,
     warc,
@@ -159,6 +160,12 @@ def op12_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op13_minhash(spark: SparkSession, directory: str) -> DataFrame:
+    found = signature_join.near_duplicates(table(spark, directory, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -173,4 +180,5 @@ def queries() -> dict[str, Query]:
         "op10_top_k": op10_top_k,
         "op11_manifest": op11_manifest,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_minhash": op13_minhash,
     }
