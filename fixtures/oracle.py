@@ -743,6 +743,67 @@ select o.searches, o.search_to_book_rate_pct, o.revenue,
   (select count(*) from alerts where alert_flag = 1) as anomaly_alert_days
 from overall o, supply_impact s, checkout_impact c"""
 
+
+def _two_feature_tree() -> str:
+    """One tree of at most three leaves over two features, second-order gains, penalty of 0.5, 40
+    rows a leaf: every split of the root, the best, every split of its children, the better one."""
+
+    def splits(name: str, cells: str, by: str) -> str:
+        over = f"partition by {by}, f order by v"
+        whole = f"partition by {by}, f"
+        parts = {
+            "left": ("gl", "hl", "nl"),
+            "rest": ("gt - gl", "ht - hl", "nt - nl"),
+        }
+        worth = " + ".join(f"pow({g}, 2) / ({h} + 0.5)" for g, h, _ in parts.values())
+        return f"""{name}_sums as (
+  select {by}, f, v, sum(g) as g, sum(h) as h, sum(n) as n
+  from (select *, 0 as f, a as v from {cells} union all select *, 1 as f, b as v from {cells})
+  group by {by}, f, v
+), {name}_splits as (
+  select {by}, f, v, sum(g) over ({over}) as gl, sum(h) over ({over}) as hl, sum(n) over ({over}) as nl,
+         sum(g) over ({whole}) as gt, sum(h) over ({whole}) as ht, sum(n) over ({whole}) as nt
+  from {name}_sums
+), {name}_best as (
+  select {by}, f, v, {worth} - pow(gt, 2) / (ht + 0.5) as gain
+  from {name}_splits where least(nl, nt - nl) >= 40
+  qualify row_number() over (partition by {by} order by gain desc, f, v) = 1 and gain > 0
+)"""
+
+    goes = "case when {0}.f = 0 then {1}.a else {1}.b end"
+    return f""", fit as (select * from train where not ({_HELD_OUT})),
+prior as (select avg(booked_flag) as p from fit),
+cells as (
+  select 0 as node, railcard_used::double as a, results_count::double as b, count(*) as n,
+         sum(p - booked_flag) as g, sum(p * (1 - p)) as h
+  from fit, prior group by railcard_used, results_count
+), edges as (
+  select f, v, v + (lead(v) over (partition by f order by v) - v) / 2 as edge
+  from (select distinct 0 as f, a as v from cells union select distinct 1 as f, b as v from cells)
+), {splits("root", "cells", "node")},
+root as (select r.f, e.edge from root_best r join edges e using (f, v)),
+halves as (
+  select c.* replace (case when {goes.format("r", "c")} <= r.edge then 1 else 2 end as node)
+  from cells c, root r
+), {splits("half", "halves", "node")},
+half as (
+  select h.node, h.f, e.edge from half_best h join edges e using (f, v)
+  order by gain desc, node limit 1
+),
+asked as (
+  select search_id, railcard_used::double as a, results_count::double as b, split from labelled
+), leaves as (
+  select q.*, coalesce(case when h.node is not null and {goes.format("h", "q")} <= h.edge then 1 end, 0) as part
+  from (select c.* replace (case when {goes.format("r", "c")} <= r.edge then 1 else 2 end as node)
+        from (select 0 as node, null as search_id, a, b, n, g, h from cells
+              union all select 0, search_id, a, b, null, null, null from asked where split = 'validation') c,
+             root r) q
+  left join half h on h.node = q.node
+), leaf_values as (select node, part, -sum(g) / (sum(h) + 0.5) as value from leaves group by node, part)
+select search_id, round(1 / (1 + exp(-(ln(p / (1 - p)) + value))), 4) + 0e0 as score
+from leaves join leaf_values using (node, part), prior where search_id is not null"""
+
+
 FINAL: dict[str, str] = {
     "contract_check": _contract(),
     "source_profile": _PROFILE,
@@ -912,6 +973,7 @@ from ({_metrics('tested_curve')}) m, chosen_threshold""",
 select v.search_id, round(r, 4) + 0e0 as score
 from labelled v join (select railcard_used, avg(booked_flag) as r from train group by 1) using (railcard_used)
 where v.split = 'validation'""",
+    "histogram_two_features": _two_feature_tree(),
     "gbt_one_feature": f"""
 select v.search_id, round(1 / (1 + exp(-2 * (2 * r - 1))), 4) + 0e0 as score
 from labelled v join (select railcard_used, avg(booked_flag) as r from train where not ({_HELD_OUT}) group by 1)

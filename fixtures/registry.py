@@ -41,6 +41,7 @@ from wayfunnel.settings import (
     NUMERIC_FEATURES,
     TARGET,
     BoostingParams,
+    HistogramBoostingParams,
     ModelParams,
 )
 
@@ -175,8 +176,8 @@ def champion(j: Journey) -> tuple[str, str]:
 
 def _comparison(j: Journey) -> DataFrame:
     def compare() -> DataFrame:
-        names = (models.PRIOR, models.LOGISTIC, models.BOOSTED)
-        return models.model_comparison([candidate(j, n) for n in names], _splits(j)[1])
+        candidates = [candidate(j, name) for name in models.CANDIDATES]
+        return models.model_comparison(candidates, _splits(j)[1])
 
     return j.area.table("model_comparison", compare)
 
@@ -286,13 +287,17 @@ def _formula_info(j: Journey) -> DataFrame:
     )
 
 
-def _railcard_only(rows: DataFrame) -> DataFrame:
-    """Records that differ in one feature, so that a fit has a closed form."""
+def _only(rows: DataFrame, *kept: str) -> DataFrame:
+    """Records that differ in these features alone, so that a fit can be stated in SQL."""
     same = {name: F.lit("same") for name in CATEGORICAL_FEATURES}
-    same |= {name: F.lit(1.0) for name in NUMERIC_FEATURES if name != "railcard_used"}
+    same |= {name: F.lit(1.0) for name in NUMERIC_FEATURES if name not in kept}
     return rows.withColumns(same)
 
 
+def _railcard_only(rows: DataFrame) -> DataFrame:
+    return _only(rows, "railcard_used")
+
+
 CLOSED_FORM = ModelParams(
     inverse_regularisation=1e9,
     boosting=BoostingParams(rounds=1, max_depth=1, min_rows_per_leaf=1),
@@ -304,9 +309,29 @@ def _railcard_fit(j: Journey, name: str) -> PipelineModel:
     train = _railcard_only(_splits(j)[0])
     if name == models.LOGISTIC:
         return models.fit_logistic(train, CLOSED_FORM)
+    return models.fit_boosted(train, CLOSED_FORM, held_out=_hashed_tenth())
+
+
+def _hashed_tenth():
     digest = F.md5(F.col("search_id").cast("binary"))
-    held_out = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10 == 0
-    return models.fit_boosted(train, CLOSED_FORM, held_out=held_out)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10 == 0
+
+
+# One tree of three leaves: the second split shows which of two leaves is taken first.
+ONE_TREE = ModelParams(histogram=HistogramBoostingParams(rounds=1, max_leaves=3, step_size=1.0))
+
+
+@lru_cache(maxsize=8)
+def two_feature_fit(j: Journey) -> PipelineModel:
+    train = _only(_splits(j)[0], "railcard_used", "results_count")
+    return models.fit_histogram(train, ONE_TREE, held_out=_hashed_tenth())
+
+
+def _two_feature_scores(j: Journey) -> DataFrame:
+    """Validation rows scored by a tree over two features."""
+    rows = _only(_splits(j)[1], "railcard_used", "results_count")
+    scored = models.probability(two_feature_fit(j), rows)
+    return scored.select("search_id", round_to(F.col("score"), 4).alias("score"))
 
 
 def _railcard_scores(j: Journey, name: str) -> DataFrame:
@@ -490,6 +515,8 @@ def queries() -> dict[str, Query]:
         "formula_model_info": _on(lambda j: six_digits(_formula_info(j))),
         "lr_one_feature": _on(lambda j: _railcard_scores(j, models.LOGISTIC)),
         "gbt_one_feature": _on(lambda j: _railcard_scores(j, models.BOOSTED)),
+        "histogram_two_features": _on(_two_feature_scores),
+        "histogram_scores": _on(lambda j: _validation_scores(j, models.HISTOGRAM)),
         "lr_scores": _on(lambda j: _validation_scores(j, models.LOGISTIC)),
         "gbt_scores": _on(lambda j: _validation_scores(j, models.BOOSTED)),
         "model_comparison": _on(_comparison),

@@ -27,6 +27,7 @@ def test_every_sql_text_belongs_to_a_query():
     fitted = {
         "lr_scores",
         "gbt_scores",
+        "histogram_scores",
         "model_comparison",
         "locked_test_predictions",
         "batch_scoring",

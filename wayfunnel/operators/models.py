@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfunnel.operators.boosting import fit_trees
 from wayfunnel.operators.evaluation import METRICS, model_metrics
 from wayfunnel.operators.features import imputation_values
 from wayfunnel.settings import (
@@ -31,7 +32,9 @@ from wayfunnel.settings import (
 )
 from wayfunnel.sources.workarea import ensure_checkpoints
 
-PRIOR, LOGISTIC, BOOSTED = "Dummy Baseline", "Logistic Regression", "Gradient Boosted Trees"
+PRIOR, LOGISTIC = "Dummy Baseline", "Logistic Regression"
+HISTOGRAM, BOOSTED = "Histogram Gradient Boosting", "Gradient Boosted Trees"
+CANDIDATES = (PRIOR, LOGISTIC, HISTOGRAM)
 
 
 def _sql_literal(value: str | float) -> str:
@@ -118,10 +121,40 @@ def fit_logistic(
     return _fit_after(prepared or fit_preparation(train), stages, train)
 
 
-def held_out_share(params: ModelParams = ModelParams(), key: str = "search_id") -> Column:
+def held_out_share(
+    params: ModelParams = ModelParams(), key: str = "search_id", percent: int | None = None
+) -> Column:
     """Whether a training row only decides when boosting stops: a share by a hash of key and seed."""
     draw = F.abs(F.xxhash64(key, F.lit(params.seed)) % 100)
-    return draw < params.boosting.holdout_percent
+    return draw < (params.boosting.holdout_percent if percent is None else percent)
+
+
+def fit_histogram(
+    train: DataFrame,
+    params: ModelParams = ModelParams(),
+    prepared: PipelineModel | None = None,
+    held_out: Column | None = None,
+) -> PipelineModel:
+    """Second-order boosted trees, grown best leaf first (``boosting.py``), on ordinal features.
+
+    Categories are coded by their place among the sorted training values, unseen ones as -1.
+    """
+    prepared = prepared or fit_preparation(train)
+    values = [len(labels) for labels in prepared.stages[-1].labelsArray]
+    codes = ", ".join(
+        f"IF({name}_index < {n}, {name}_index + 0D, -1D) AS {name}_code"
+        for name, n in zip(CATEGORICAL_FEATURES, values, strict=True)
+    )
+    ordinal = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
+    stopping = held_out_share(params, percent=params.histogram.holdout_percent)
+    trees = fit_trees(
+        ordinal.transform(prepared.transform(train)),
+        [*_filled(CATEGORICAL_FEATURES, "_code"), *_filled(NUMERIC_FEATURES)],
+        TARGET,
+        stopping if held_out is None else held_out,
+        params.histogram,
+    )
+    return PipelineModel(stages=[*prepared.stages, ordinal, trees])
 
 
 def fit_boosted(
@@ -130,7 +163,7 @@ def fit_boosted(
     prepared: PipelineModel | None = None,
     held_out: Column | None = None,
 ) -> PipelineModel:
-    """Gradient-boosted trees on ordinal features, stopped early on a hashed tenth of the rows or
+    """First-order boosted trees, grown level by level, on ordinal features, stopped early on a hashed tenth of the rows or
     those that ``held_out`` names.
 
     The category codes are plain numbers for the trees (the sum drops the nominal metadata), so
@@ -197,13 +230,13 @@ def fit_candidate(
 ) -> Candidate:
     if name == PRIOR:
         return Candidate(name, fit_prior(train))
-    fit = {LOGISTIC: fit_logistic, BOOSTED: fit_boosted}[name]
+    fit = {LOGISTIC: fit_logistic, HISTOGRAM: fit_histogram, BOOSTED: fit_boosted}[name]
     return Candidate(name, fit(train, params, prepared))
 
 
 def fit_candidates(train: DataFrame, params: ModelParams = ModelParams()) -> list[Candidate]:
     prepared = fit_preparation(train)
-    return [fit_candidate(name, train, params, prepared) for name in (PRIOR, LOGISTIC, BOOSTED)]
+    return [fit_candidate(name, train, params, prepared) for name in CANDIDATES]
 
 
 def model_comparison(candidates: list[Candidate], validation: DataFrame) -> DataFrame:

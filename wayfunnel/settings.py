@@ -115,9 +115,29 @@ class BoostingParams:
     holdout_percent: int = 10
 
 
+@dataclass(frozen=True)
+class HistogramBoostingParams:
+    """Boosting with trees grown best leaf first. It stops early when none of the last `patience`
+    rounds lowers the held-out loss by more than the tolerance. A subtree of up to `local_rows` rows
+    is grown by one task."""
+
+    step_size: float = 0.08
+    rounds: int = 250
+    max_leaves: int = 31
+    min_rows_per_leaf: int = 40
+    l2: float = 0.5
+    max_bins: int = 255
+    patience: int = 10
+    tolerance: float = 1e-7
+    holdout_percent: int = 10
+    rewrite_rounds: int = 10
+    local_rows: int = 262_144
+
+
 @dataclass(frozen=True)
 class ModelParams:
     seed: int = 42
     logistic_iterations: int = 1000
     inverse_regularisation: float = 1.0
     boosting: BoostingParams = field(default_factory=BoostingParams)
+    histogram: HistogramBoostingParams = field(default_factory=HistogramBoostingParams)
