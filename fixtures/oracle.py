@@ -472,14 +472,15 @@ group by bin"""
 TABLES["train"] = "select * from labelled where split = 'train'"
 
 
-def _imputation() -> str:
+def _imputation(train: str = "train") -> str:
     text = [
-        f"select '{c}' as feature, (select {c} from train where {c} is not null group by {c} "
+        f"select '{c}' as feature, (select {c} from {train} where {c} is not null group by {c} "
         f"order by count(*) desc, {c} limit 1) as text_value, null::double as number_value"
         for c in CATEGORICAL_FEATURES
     ]
     numbers = [
-        f"select '{c}', null, (select median({c}::double) from train)" for c in NUMERIC_FEATURES
+        f"select '{c}', null, (select median(nullif({c}::double, 'nan'::double)) from {train})"
+        for c in NUMERIC_FEATURES
     ]
     return " union all ".join(text + numbers)
 
@@ -732,6 +733,83 @@ select session_id, customer_id, count(*) as searches, {total('zero_results_flag'
   {total('booked_flag', 'bookings')}, {_REVENUE}
 from funnel group by session_id, customer_id"""
 
+# Sessions on the outer side, searches of some hours left out.
+TABLES["some_funnel"] = "select * from funnel where search_hour < 4 or search_hour > 9"
+TABLES["all_sessions"] = """
+select s.session_id, s.customer_id, count(f.search_id) as searches,
+  coalesce(sum(zero_results_flag), 0)::bigint as zero_result_searches,
+  coalesce(sum(selected_flag), 0)::bigint as selected_searches,
+  coalesce(sum(checkout_started_flag), 0)::bigint as checkout_attempts,
+  coalesce(sum(booked_flag), 0)::bigint as bookings, coalesce(max(checkout_started_flag), 0) as started,
+  coalesce(max(booked_flag), 0) as booked, sum(checkout_completed_flag) as completed,
+  coalesce(sum(f.revenue), 0) as revenue
+from stg_sessions s left join some_funnel f on f.session_id = s.session_id
+group by s.session_id, s.customer_id"""
+_ALL_SESSIONS = """
+select session_id, customer_id, searches, zero_result_searches, selected_searches, checkout_attempts,
+  bookings, round(revenue, 2) as revenue
+from all_sessions"""
+_ALL_DOCUMENTED = f"""
+select count(*) as sessions, {rate('sum(started)', 'count(*)')} as checkout_start_rate_pct,
+  {rate('sum(completed)', 'sum(checkout_attempts)')} as checkout_completion_rate_pct,
+  {rate('sum(1 - booked)', 'count(*)')} as funnel_abandonment_rate_pct,
+  round(round(sum(revenue), 6) / count(*), 2) as revenue_per_session
+from all_sessions"""
+
+_EDGES = [
+    ("searches", "session_id", "sessions"),
+    ("journey_results", "search_id", "searches"),
+    ("checkout", "session_id", "sessions"),
+    ("checkout", "search_id", "searches"),
+    ("bookings", "session_id", "sessions"),
+    ("bookings", "search_id", "searches"),
+    ("bookings", "checkout_id", "checkout"),
+]
+
+
+def _foreign_keys(prefix: str) -> str:
+    def table(name: str) -> str:
+        return prefix + name.removeprefix("journey_")
+
+    return " union all ".join(
+        f"select '{child}' as table_name, '{key}' as column_name, '{parent}' as parent_table, "
+        f"count(*) as row_count, count(*) - count({key}) as null_keys, "
+        f"count(*) filter ({key} is null or {key} not in (select {key} from {table(parent)})) as orphans "
+        f"from {table(child)}"
+        for child, key, parent in _EDGES
+    )
+
+
+# Encodings of the validation rows by what the training rows hold.
+TABLES["bad_train"] = """
+select * replace (
+  case when search_latency_ms % 7 <> 0 then search_latency_ms else 'nan'::double end as search_latency_ms,
+  case when search_latency_ms % 11 <> 0 then results_count end as results_count,
+  case when search_latency_ms % 5 <> 0 then country end as country)
+from train"""
+TABLES["encodable"] = """
+select * replace (case when search_latency_ms % 9 = 0 then 'Nowhere' else country end as country)
+from labelled where split = 'validation'"""
+
+
+def _encoded(ordinal: bool) -> str:
+    parts = []
+    for c in CATEGORICAL_FEATURES:
+        levels = f"(select list(distinct {c} order by {c}) from train)"
+        place = f"list_position({levels}, {c})"
+        shown = f"{place} - 1" if ordinal else f"(case when {place} is null then 0 else 1 end)"
+        level = "" if ordinal else f"case when {place} is not null then {c} end as level, "
+        code = f"coalesce({shown}, -1)" if ordinal else shown
+        parts.append(f"select search_id, '{c}' as feature, {level}{code}::double as value from encodable")
+    for c in NUMERIC_FEATURES:
+        spread = f"(select nullif(stddev_samp({c}::double), 0) from train)"
+        scaled = f"coalesce(({c}::double - (select avg({c}::double) from train)) / {spread}, 0)"
+        value = f"{c}::double" if ordinal else f"round({scaled}, 6) + 0e0"
+        level = "" if ordinal else "null as level, "
+        parts.append(f"select search_id, '{c}', {level}{value} from encodable")
+    return " union all ".join(parts)
+
+
 _CHECKED_JOIN = """
 select search_id, checkout_id, session_id, selected_operator, selected_fare, customer_type, country
 from stg_checkout left join selected_results using (search_id) left join stg_sessions using (session_id)"""
@@ -974,6 +1052,14 @@ select v.search_id, round(r, 4) + 0e0 as score
 from labelled v join (select railcard_used, avg(booked_flag) as r from train group by 1) using (railcard_used)
 where v.split = 'validation'""",
     "histogram_two_features": _two_feature_tree(),
+    "score_violations": _violations(),
+    "foreign_keys": _foreign_keys("stg_"),
+    "foreign_keys_damaged": _foreign_keys("bad_"),
+    "documented_metrics_all_sessions": _ALL_DOCUMENTED,
+    "session_features_all_sessions": _ALL_SESSIONS,
+    "imputation_values_damaged": _imputation("bad_train"),
+    "one_hot_encoding": _encoded(ordinal=False),
+    "ordinal_encoding": _encoded(ordinal=True),
     "gbt_one_feature": f"""
 select v.search_id, round(1 / (1 + exp(-2 * (2 * r - 1))), 4) + 0e0 as score
 from labelled v join (select railcard_used, avg(booked_flag) as r from train where not ({_HELD_OUT}) group by 1)

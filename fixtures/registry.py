@@ -362,6 +362,35 @@ def _damaged_dataset(j: Journey) -> DataFrame:
     return j.dataset.withColumn(TARGET, wrong).unionByName(j.dataset.where(slow % 200 == 7))
 
 
+def _damaged_train(j: Journey) -> DataFrame:
+    """Training rows with NaN and NULL in place of values."""
+    slow = F.col("search_latency_ms")
+    return _splits(j)[0].withColumns(
+        {
+            "search_latency_ms": F.when(slow % 7 != 0, slow).otherwise(F.lit(float("nan"))),
+            "results_count": F.when(slow % 11 != 0, F.col("results_count")),
+            "country": F.when(slow % 5 != 0, F.col("country")),
+        }
+    )
+
+
+def _some_searchless(j: Journey) -> tuple[DataFrame, DataFrame]:
+    """The funnel without the searches of some hours, and all sessions."""
+    return j.funnel.where((F.col("search_hour") < 4) | (F.col("search_hour") > 9)), j.staged("sessions")
+
+
+@lru_cache(maxsize=4)
+def _encoding(j: Journey) -> PipelineModel:
+    return models.fit_encoding(_splits(j)[0])
+
+
+def _unseen_country(j: Journey) -> DataFrame:
+    """Validation rows of which some have a category that training did not hold."""
+    slow = F.col("search_latency_ms")
+    country = F.when(slow % 9 == 0, "Nowhere").otherwise(F.col("country"))
+    return _splits(j)[1].withColumn("country", country)
+
+
 def _damaged_splits(j: Journey) -> DataFrame:
     """The test rows called training rows."""
     split = F.when(F.col("split") == "test", "train").otherwise(F.col("split"))
@@ -501,6 +530,24 @@ def queries() -> dict[str, Query]:
                 validation.validate_records(scoring_requests(j.dataset), keys=("search_id",))
             )
         ),
+        "score_violations": _on(
+            lambda j: validation.count_violations(scoring_requests(j.dataset), keys=("search_id",))
+        ),
+        "foreign_keys": _on(lambda j: quality.foreign_key_report(j.staged_tables())),
+        "foreign_keys_damaged": _on(lambda j: quality.foreign_key_report(damaged(j))),
+        "documented_metrics_all_sessions": _on(
+            lambda j: marts.documented_metrics(*_some_searchless(j))
+        ),
+        "session_features_all_sessions": _on(
+            lambda j: marts.session_features(*_some_searchless(j))
+        ),
+        "imputation_values_damaged": _on(
+            lambda j: features.imputation_values(_damaged_train(j))
+        ),
+        "one_hot_encoding": _on(
+            lambda j: six_digits(models.encoded_rows(_encoding(j), _unseen_country(j)))
+        ),
+        "ordinal_encoding": _on(lambda j: models.coded_rows(_encoding(j), _unseen_country(j))),
         "alert_reconciliation_damaged": _on(
             lambda j: quality.alert_reconciliation(_summary(j), _damaged_report(j))
         ),

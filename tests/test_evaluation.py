@@ -233,3 +233,20 @@ def test_quantiles_against_numpy(spark, values, cells):
     found = {r["probability"]: r["quantile"] for r in rows}
     for q in wanted:
         assert found[q] == pytest.approx(float(np.quantile(values, q)), rel=1e-9, abs=1e-9)
+
+
+def test_a_band_beside_an_outlier_is_cut_again(spark):
+    from pyspark.sql import functions as F
+
+    from wayfunnel.operators.curves import score_cells
+
+    step = np.spacing(0.3)
+    band = spark.range(200_000).select((F.lit(0.3) + F.col("id") * 9 * step).alias("score"))
+    counts = band.union(spark.createDataFrame([(0.30001,)], "score double"))
+    assert band.agg(F.max("score") - F.min("score")).first()[0] < 1.1e-10
+    counts = counts.select("score", F.lit(1).alias("n"), F.lit(0).alias("pos"))
+    cells = score_cells(counts)
+    assert cells.agg(F.count_distinct("cell")).first()[0] > 1000
+    assert cells.groupBy("cell").count().agg(F.max("count")).first()[0] < 100
+    ordered = [r["cell"] for r in cells.orderBy("score").collect()]
+    assert ordered == sorted(ordered)

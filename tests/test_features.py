@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfunnel.operators import features, importance, validation
+from wayfunnel.operators import features, importance, models, validation
 from wayfunnel.settings import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, TARGET
 
 VALID = {
@@ -223,3 +223,44 @@ def test_nan_and_fractions_are_rejected(spark):
     text = records(spark, {}).withColumn("passengers", F.lit("2"))
     with pytest.raises(validation.RecordSchemaError, match="passengers"):
         validation.validate_records(text, keys=("search_id",))
+
+
+def test_text_fields_must_be_text(spark):
+    number = records(spark, {}).withColumn("device_type", F.lit(3))
+    with pytest.raises(validation.RecordSchemaError, match="not text.*device_type"):
+        validation.validate_records(number, keys=("search_id",))
+    with pytest.raises(validation.RecordSchemaError, match="device_type"):
+        validation.count_violations(number, keys=("search_id",))
+
+
+def test_rules_are_counted_in_one_pass(spark):
+    frame = records(
+        spark, {}, {"passengers": 0, "country": None}, {"passengers": 99}, {"search_hour": 24}
+    )
+    counted = validation.count_violations(frame, keys=("search_id",))
+    listed = validation.violation_counts(validation.validate_records(frame, keys=("search_id",)))
+    assert sorted(counted.collect()) == sorted(listed.collect()) and counted.count() == 3
+    assert validation.count_violations(frame.limit(0), keys=("search_id",)).count() == 0
+
+
+def test_nan_is_a_missing_value(spark):
+    nan = float("nan")
+    frame = records(spark, *[{"search_latency_ms": v} for v in (1.0, 2.0, 3.0, nan, nan, None)])
+    found = features.medians(frame, ("search_latency_ms", "passengers"))
+    assert {r["feature"]: r["number_value"] for r in found.collect()} == {
+        "search_latency_ms": 2.0,
+        "passengers": 1.0,
+    }
+    filled = models._imputer(frame).transform(frame).select("search_latency_ms_filled").collect()
+    assert [r[0] for r in filled] == [1.0, 2.0, 3.0, 2.0, 2.0, 2.0]
+
+
+def test_a_fit_on_nan_finishes(spark):
+    changes = [
+        {"search_latency_ms": float("nan") if i % 3 else 100.0 + i, "railcard_used": i % 2}
+        for i in range(40)
+    ]
+    train = records(spark, *changes).withColumn(TARGET, F.col("railcard_used"))
+    for fit in (models.fit_logistic, models.fit_histogram):
+        scores = models.probability(fit(train), train).select("score").collect()
+        assert len(scores) == 40 and all(0 <= r[0] <= 1 for r in scores)

@@ -2,17 +2,18 @@
 
 import json
 import re
+from datetime import datetime
 
 import pytest
 from conftest import one
 from pyspark.sql import functions as F
 
 from fixtures.derive import CHECKOUT, SPLIT, SUPPLY, scoring_requests
-from wayfunnel.operators import evaluation, incidents, models, quality
+from wayfunnel.operators import evaluation, features, incidents, models, quality
 from wayfunnel.plans.investigation import investigate
 from wayfunnel.plans.modelling import published, score_batch, train_and_evaluate
 from wayfunnel.plans.warehouse import build_warehouse
-from wayfunnel.settings import BoostingParams, ModelParams
+from wayfunnel.settings import HistogramBoostingParams, ModelParams, SplitDates
 from wayfunnel.sources import exports, raw, warehouse, workarea
 
 PREFIX = "wf_test_"
@@ -99,9 +100,9 @@ def test_investigation_writes_tables_and_summary(spark, built, tmp_path):
 
 
 def test_modelling_stage(spark, j, tmp_path):
-    params = ModelParams(boosting=BoostingParams(rounds=3))
+    params = ModelParams(histogram=HistogramBoostingParams(rounds=3))
     result = train_and_evaluate(j.dataset, str(tmp_path), SPLIT, params)
-    assert result.champion in (models.LOGISTIC, models.BOOSTED)
+    assert result.champion in models.CANDIDATES
     table = spark.read.option("header", True).csv(f"{tmp_path}/test_metrics.csv")
     assert [r["metric"] for r in table.collect()] == list(evaluation.METRICS)
     assert result.tables["feature_importance"].count() == 18
@@ -162,3 +163,46 @@ def test_work_area_follows_the_session_folder_and_input_changes(spark, tmp_path)
     assert before == workarea.fingerprint(spark, str(tmp_path), ["t"])
     spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
     assert before != workarea.fingerprint(spark, str(tmp_path), ["t"])
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark):
+    name = f"{PREFIX}analytics.kept"
+    warehouse.create_layers(spark, PREFIX)
+    warehouse.save_table(spark.range(10), "analytics.kept", PREFIX)
+    late = F.when(F.col("id") == 7, F.raise_error(F.lit("late"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="late"):
+        warehouse.save_table(spark.range(20).select(late.cast("long").alias("id")), "analytics.kept", PREFIX)
+    assert spark.table(name).count() == 10
+    # a table may be read while it is replaced
+    doubled = spark.table(name).unionByName(spark.table(name))
+    assert warehouse.save_table(doubled, "analytics.kept", PREFIX).count() == 20
+    tables = [t.name for t in spark.catalog.listTables(f"{PREFIX}analytics") if "kept" in t.name]
+    assert len(tables) == 2 and "kept" in tables  # the name and its one version
+    bucketed = warehouse.save_table(
+        spark.table(name).withColumn("day", F.col("id") % 2), "analytics.kept", PREFIX, ["day"]
+    )
+    assert bucketed.where("day = 1").count() == 10
+
+
+def test_a_failed_swap_leaves_the_old_table(spark):
+    name = f"{PREFIX}analytics.swapped"
+    warehouse.create_layers(spark, PREFIX)
+    warehouse.save_table(spark.range(3), "analytics.swapped", PREFIX)
+    with pytest.raises(Exception, match="no_such"):
+        warehouse._show(spark, name, f"{PREFIX}analytics.no_such")
+    assert spark.table(name).count() == 3
+
+
+def test_splits_read_only_the_partitions_of_their_days(spark, j):
+    warehouse.create_layers(spark, PREFIX)
+    funnel = warehouse.save_table(j.funnel, "analytics.by_day", PREFIX, ["search_date"])
+    dataset = features.model_rows(funnel, with_day=True)
+    plain = features.temporal_split(features.model_rows(j.funnel), SPLIT)
+    for split, same in zip(features.temporal_split(dataset, SPLIT), plain, strict=True):
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        filters = re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)
+        assert "search_date" in filters and ("<=" in filters or ">=" in filters)
+        assert split.drop("search_date").exceptAll(same).count() == 0 and split.count() == same.count()
+    moment = datetime(1999, 1, 1, 12)
+    early, _, _ = features.temporal_split(dataset, SplitDates(moment, SPLIT.test_from))
+    assert early.count() == j.funnel.where(F.col("searched_at") < F.lit(moment.isoformat(" ")).cast("timestamp_ntz")).count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, time, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,15 @@ def model_dataset(funnel: DataFrame, searches: DataFrame, sessions: DataFrame) -
     )
 
 
-def model_rows(funnel: DataFrame) -> DataFrame:
+DAY = "search_date"
+
+
+def model_rows(funnel: DataFrame, with_day: bool = False) -> DataFrame:
     """The same rows as ``model_dataset`` from a funnel whose build passed its checks.
 
     Unique keys and no orphans make the joins no-ops, and the funnel carries every feature: a
-    projection of one scan, without a shuffle.
+    projection of one scan, without a shuffle. ``with_day`` keeps the column that the funnel is
+    partitioned by, for ``temporal_split``.
     """
     at = F.col("searched_at")
     features = {name: F.col(name) for name in (*CATEGORICAL_FEATURES, *NUMERIC_FEATURES[:7])}
@@ -62,6 +68,7 @@ def model_rows(funnel: DataFrame) -> DataFrame:
     return funnel.select(
         "search_id",
         "searched_at",
+        *([DAY] if with_day else []),
         F.col(TARGET).cast("int").alias(TARGET),
         *[column.alias(name) for name, column in features.items()],
     )
@@ -80,13 +87,29 @@ def label_split(dataset: DataFrame, dates: SplitDates = SplitDates()) -> DataFra
 def temporal_split(
     dataset: DataFrame, dates: SplitDates = SplitDates()
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Train, validation and test rows as three filters that reach the scan."""
-    at = F.col("searched_at")
-    first, second = _ntz(dates.validation_from), _ntz(dates.test_from)
+    """Train, validation and test rows as three filters that reach the scan.
+
+    Where the rows carry their day, it is bounded as well, so that each split reads only the
+    partitions of its days.
+    """
+    at, by_day = F.col("searched_at"), DAY in dataset.columns
+
+    def before(moment: datetime) -> Column:
+        if not by_day:
+            return at < _ntz(moment)
+        # a boundary inside a day leaves that day to both sides
+        last = moment.date() - timedelta(days=1) if moment.time() == time() else moment.date()
+        return (F.col(DAY) <= F.lit(last)) & (at < _ntz(moment))
+
+    def since(moment: datetime) -> Column:
+        later = at >= _ntz(moment)
+        return (F.col(DAY) >= F.lit(moment.date())) & later if by_day else later
+
+    first, second = dates.validation_from, dates.test_from
     return (
-        dataset.where(at < first),
-        dataset.where((at >= first) & (at < second)),
-        dataset.where(at >= second),
+        dataset.where(before(first)),
+        dataset.where(since(first) & before(second)),
+        dataset.where(since(second)),
     )
 
 
@@ -112,12 +135,14 @@ def most_frequent(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def medians(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Exact median per column: (feature, number_value)."""
+    """Exact median per column: (feature, number_value). NULL and NaN are missing values."""
     long = frame.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
     counts = (
-        long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(rows("n"))
+        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("feature", "value")
+        .agg(rows("n"))
     )
     middle = grouped_quantiles(counts, "feature", [0.5])
     return middle.select("feature", F.col("quantile").alias("number_value"))

@@ -326,27 +326,60 @@ def route_opportunities(routes: DataFrame, min_searches: int = 200, top: int = 2
     )
 
 
-def session_features(funnel: DataFrame) -> DataFrame:
-    """Per-session rollup of the funnel."""
-    return funnel.groupBy("session_id", "customer_id").agg(
-        rows("searches"),
-        *flag_totals(
-            "zero_result_searches", "selected_searches", "checkout_attempts", "bookings"
-        ),
-        round_to(F.sum("revenue")).alias("revenue"),
+def _with_sessions(funnel: DataFrame, sessions: DataFrame | None) -> tuple[DataFrame, Column]:
+    """The funnel rows, below a row without a search for each session, and whether a group of them
+    is a known session. Stacked and grouped once, a session of any weight needs no join."""
+    if sessions is None:
+        return funnel, F.lit(True)
+    used = ["search_id", "session_id", "customer_id", "zero_results_flag", "selected_flag"]
+    used += ["checkout_started_flag", "checkout_completed_flag", "booked_flag", "revenue"]
+    known = sessions.select("session_id", "customer_id", F.lit(1).alias("known"))
+    stacked = funnel.select(*used).unionByName(known, allowMissingColumns=True)
+    return stacked, F.max("known") == 1
+
+
+def session_features(funnel: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Per-session rollup of the funnel; with ``sessions``, of each of them, searches or none."""
+    stacked, is_known = _with_sessions(funnel, sessions)
+    totals = flag_totals(
+        "zero_result_searches", "selected_searches", "checkout_attempts", "bookings"
+    )
+    if sessions is None:
+        measures = [rows("searches"), *totals]
+        revenue = F.sum("revenue")
+    else:
+        measures = [F.count("search_id").alias("searches")]
+        measures += [
+            F.coalesce(F.sum(flag), F.lit(0)).cast("bigint").alias(name)
+            for flag, name in (
+                ("zero_results_flag", "zero_result_searches"),
+                ("selected_flag", "selected_searches"),
+                ("checkout_started_flag", "checkout_attempts"),
+                ("booked_flag", "bookings"),
+            )
+        ]
+        revenue = F.coalesce(F.sum("revenue"), F.lit(0.0))
+    grouped = stacked.groupBy("session_id", "customer_id").agg(
+        *measures, round_to(revenue).alias("revenue"), is_known.alias("is_known")
     )
+    return grouped.where("is_known").drop("is_known")
 
 
-def documented_metrics(funnel: DataFrame) -> DataFrame:
-    """Metrics defined per session: checkout start, checkout completion, abandonment, revenue."""
-    by_session = funnel.groupBy("session_id").agg(
-        F.max("checkout_started_flag").alias("started"),
-        F.max("booked_flag").alias("booked"),
+def documented_metrics(funnel: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Metrics defined per session: checkout start, checkout completion, abandonment, revenue.
+
+    With ``sessions`` every one of them is eligible, also those without a search.
+    """
+    stacked, is_known = _with_sessions(funnel, sessions)
+    by_session = stacked.groupBy("session_id").agg(
+        F.coalesce(F.max("checkout_started_flag"), F.lit(0)).alias("started"),
+        F.coalesce(F.max("booked_flag"), F.lit(0)).alias("booked"),
         F.sum("checkout_started_flag").alias("attempts"),
         F.sum("checkout_completed_flag").alias("completed"),
         F.sum("revenue").alias("revenue"),
+        is_known.alias("is_known"),
     )
-    sums = by_session.where(F.col("session_id").isNotNull()).agg(
+    sums = by_session.where(F.col("session_id").isNotNull() & F.col("is_known")).agg(
         rows("sessions"),
         F.sum("started").alias("checkout_sessions"),
         F.sum(1 - F.col("booked")).alias("abandoned_sessions"),

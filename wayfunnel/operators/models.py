@@ -46,7 +46,8 @@ def _sql_literal(value: str | float) -> str:
 def _imputer(train: DataFrame) -> SQLTransformer:
     """Fill missing values with those of the training rows, as a saveable pipeline stage.
 
-    One row per feature is read back, eighteen in all.
+    NULL and NaN are missing. One row per feature is read back, eighteen in all. A feature without
+    any value in training stays as it is, but for NaN, which becomes NULL.
     """
     fills = {
         row["feature"]: row["text_value"] if row["number_value"] is None else row["number_value"]
@@ -55,6 +56,8 @@ def _imputer(train: DataFrame) -> SQLTransformer:
 
     def filled(name: str, kind: str) -> str:
         source = f"CAST({name} AS {kind})"
+        if kind == "DOUBLE":
+            source = f"NULLIF({source}, CAST('NaN' AS DOUBLE))"
         if fills.get(name) is None:
             return f"{source} AS {name}_filled"
         return f"COALESCE({source}, {_sql_literal(fills[name])}) AS {name}_filled"
@@ -89,15 +92,9 @@ def _fit_after(prepared: PipelineModel, stages: list, train: DataFrame) -> Pipel
     return PipelineModel(stages=[*prepared.stages, *fitted.stages])
 
 
-def fit_logistic(
-    train: DataFrame, params: ModelParams = ModelParams(), prepared: PipelineModel | None = None
-) -> PipelineModel:
-    """L2 logistic regression on one-hot and standardised features.
-
-    The penalty is divided by the row count: Spark averages the loss, while a unit inverse
-    regularisation is stated for summed losses. An unseen category is all zeros, because the extra
-    index is the slot that ``dropLast`` drops.
-    """
+def _encoding() -> list:
+    """One-hot and standardised features. An unseen category is all zeros, because the extra index
+    is the slot that ``dropLast`` drops."""
     encoder = OneHotEncoder(
         inputCols=_filled(CATEGORICAL_FEATURES, "_index"),
         outputCols=_filled(CATEGORICAL_FEATURES, "_onehot"),
@@ -108,6 +105,58 @@ def fit_logistic(
     features = VectorAssembler(
         inputCols=[*_filled(CATEGORICAL_FEATURES, "_onehot"), "scaled"], outputCol="features"
     )
+    return [encoder, numbers, scaler, features]
+
+
+def fit_encoding(train: DataFrame, prepared: PipelineModel | None = None) -> PipelineModel:
+    """What the logistic model sees of a record, without the model."""
+    return _fit_after(prepared or fit_preparation(train), _encoding(), train)
+
+
+def encoded_rows(encoding: PipelineModel, records: DataFrame, key: str = "search_id") -> DataFrame:
+    """(key, feature, level, value): the encoding matrix, one row per record and feature.
+
+    Categories have the level whose slot is 1, or NULL and 0 if training did not hold it; numbers
+    their standardised value and no level.
+    """
+    labels = encoding.stages[1].labelsArray
+    parts = []
+    for name, levels in zip(CATEGORICAL_FEATURES, labels, strict=True):
+        slots = vector_to_array(F.col(f"{name}_onehot"))
+        slot = F.array_position(slots, F.lit(1.0))
+        level = F.when(slot > 0, F.element_at(F.array(*map(F.lit, levels)), slot.cast("int")))
+        value = F.aggregate(slots, F.lit(0.0), lambda total, x: total + x)
+        parts.append((name, level, value))
+    scaled = vector_to_array(F.col("scaled"))
+    parts += [
+        (name, F.lit(None).cast("string"), scaled[i]) for i, name in enumerate(NUMERIC_FEATURES)
+    ]
+    lines = [
+        F.struct(F.lit(n).alias("feature"), level.alias("level"), value.alias("value"))
+        for n, level, value in parts
+    ]
+    return encoding.transform(records).select(key, F.inline(F.array(*lines)))
+
+
+def coded_rows(prepared: PipelineModel, records: DataFrame, key: str = "search_id") -> DataFrame:
+    """(key, feature, value): the ordinal codes and filled numbers that the trees see."""
+    seen = ordinal_codes(prepared).transform(prepared.transform(records))
+    columns = {n: f"{n}_code" for n in CATEGORICAL_FEATURES}
+    columns |= {n: f"{n}_filled" for n in NUMERIC_FEATURES}
+    lines = [
+        F.struct(F.lit(n).alias("feature"), F.col(c).alias("value")) for n, c in columns.items()
+    ]
+    return seen.select(key, F.inline(F.array(*lines)))
+
+
+def fit_logistic(
+    train: DataFrame, params: ModelParams = ModelParams(), prepared: PipelineModel | None = None
+) -> PipelineModel:
+    """L2 logistic regression on one-hot and standardised features.
+
+    The penalty is divided by the row count: Spark averages the loss, while a unit inverse
+    regularisation is stated for summed losses.
+    """
     classifier = LogisticRegression(
         featuresCol="features",
         labelCol=TARGET,
@@ -117,8 +166,7 @@ def fit_logistic(
         maxIter=params.logistic_iterations,
         tol=1e-8,
     )
-    stages = [encoder, numbers, scaler, features, classifier]
-    return _fit_after(prepared or fit_preparation(train), stages, train)
+    return _fit_after(prepared or fit_preparation(train), [*_encoding(), classifier], train)
 
 
 def held_out_share(
@@ -129,23 +177,25 @@ def held_out_share(
     return draw < (params.boosting.holdout_percent if percent is None else percent)
 
 
+def ordinal_codes(prepared: PipelineModel) -> SQLTransformer:
+    """Categories by their place among the sorted training values, unseen ones as -1."""
+    values = [len(labels) for labels in prepared.stages[1].labelsArray]
+    codes = ", ".join(
+        f"IF({name}_index < {n}, {name}_index + 0D, -1D) AS {name}_code"
+        for name, n in zip(CATEGORICAL_FEATURES, values, strict=True)
+    )
+    return SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
+
+
 def fit_histogram(
     train: DataFrame,
     params: ModelParams = ModelParams(),
     prepared: PipelineModel | None = None,
     held_out: Column | None = None,
 ) -> PipelineModel:
-    """Second-order boosted trees, grown best leaf first (``boosting.py``), on ordinal features.
-
-    Categories are coded by their place among the sorted training values, unseen ones as -1.
-    """
+    """Second-order boosted trees, grown best leaf first (``boosting.py``), on ordinal features."""
     prepared = prepared or fit_preparation(train)
-    values = [len(labels) for labels in prepared.stages[-1].labelsArray]
-    codes = ", ".join(
-        f"IF({name}_index < {n}, {name}_index + 0D, -1D) AS {name}_code"
-        for name, n in zip(CATEGORICAL_FEATURES, values, strict=True)
-    )
-    ordinal = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
+    ordinal = ordinal_codes(prepared)
     stopping = held_out_share(params, percent=params.histogram.holdout_percent)
     trees = fit_trees(
         ordinal.transform(prepared.transform(train)),

@@ -142,6 +142,60 @@ def orphan_report(staged: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where(F.col("check").startswith("orphan_"))
 
 
+def foreign_key_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, parent_table, row_count, null_keys, orphans) of every foreign key
+    that the contract declares. Orphans are rows whose key has no parent row; a NULL key has none.
+
+    Edges that share a parent key share one ledger: the parent and all its child tables are stacked
+    and grouped once.
+    """
+    by_parent: dict[str, list[tuple[str, str]]] = {}
+    for child, dataset in CONTRACT.items():
+        for edge in dataset.foreign_keys:
+            by_parent.setdefault(edge.parent, []).append((child, edge.column))
+    one, parts = F.lit(1), []
+    for parent, edges in by_parent.items():
+        key = CONTRACT[parent].primary_key
+        sides = [
+            (tables[child].withColumnRenamed(column, key), {f"rows_{child}": one})
+            for child, column in edges
+        ]
+        ledger = _ledger(key, (tables[parent], {"parents": one}), *sides)
+        counted = []
+        for child, _ in edges:
+            rows_of = F.col(f"rows_{child}")
+            lost = F.when(F.col(key).isNull(), rows_of)
+            counted += [
+                F.coalesce(F.sum(rows_of), F.lit(0)).alias(f"{child}_row_count"),
+                F.coalesce(F.sum(lost), F.lit(0)).alias(f"{child}_null_keys"),
+                _orphans(key, "parents", f"rows_{child}", f"{child}_orphans"),
+            ]
+        lines = F.array(
+            *[
+                F.struct(
+                    F.lit(child).alias("table_name"),
+                    F.lit(column).alias("column_name"),
+                    F.lit(parent).alias("parent_table"),
+                    *[
+                        F.col(f"{child}_{name}").cast("bigint").alias(name)
+                        for name in ("row_count", "null_keys", "orphans")
+                    ],
+                )
+                for child, column in edges
+            ]
+        )
+        parts.append(ledger.agg(*counted).select(F.inline(lines)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def foreign_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """(check, violations) of the declared foreign keys."""
+    name = F.concat_ws("_", F.lit("orphan"), "table_name", "column_name")
+    return foreign_key_report(tables).select(
+        name.alias("check"), F.col("orphans").alias("violations")
+    )
+
+
 def run_checks(report: DataFrame) -> None:
     """Fail the build when any check has violations. The report has one row per check."""
     failures = {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfunnel.functions.measures import rows
-from wayfunnel.settings import FEATURES
+from wayfunnel.settings import CATEGORICAL_FEATURES, FEATURES
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,8 @@ NUMBER = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
 class RecordSchemaError(ValueError):
-    """Scoring records lack a field, carry an unknown one, or have text where numbers belong."""
+    """Scoring records lack a field, carry an unknown one, or have text where numbers belong or
+    numbers where text belongs."""
 
 
 def check_fields(records: DataFrame, keys: tuple[str, ...] = ()) -> None:
@@ -64,6 +65,9 @@ def check_fields(records: DataFrame, keys: tuple[str, ...] = ()) -> None:
     wrong = [r.column for r in RANGES if kinds[r.column].split("(")[0] not in NUMBER]
     if wrong:
         raise RecordSchemaError(f"fields that are not numbers: {wrong}")
+    wrong = [name for name in CATEGORICAL_FEATURES if kinds[name] != "string"]
+    if wrong:
+        raise RecordSchemaError(f"fields that are not text: {wrong}")
 
 
 def _rules() -> dict[str, Column]:
@@ -97,6 +101,21 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.where(ok).drop("errors"), validated.where(~ok)
 
 
+def count_violations(records: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(rule, violations) of the broken rules, straight from the records: all rules are counters of
+    one aggregation, without an array per record."""
+    check_fields(records, keys)
+    rules = _rules()
+    counted = records.agg(
+        *[F.count_if(broken).alias(f"rule_{i}") for i, broken in enumerate(rules.values())]
+    )
+    lines = [
+        F.struct(F.lit(rule).alias("rule"), F.col(f"rule_{i}").cast("bigint").alias("violations"))
+        for i, rule in enumerate(rules)
+    ]
+    return counted.select(F.inline(F.array(*lines))).where(F.col("violations") > 0)
+
+
 def violation_counts(validated: DataFrame) -> DataFrame:
     """(rule, violations) of the broken rules."""
     return (

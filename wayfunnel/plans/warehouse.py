@@ -69,8 +69,9 @@ def build_warehouse(
     """Run the whole stage and return the written marts by name.
 
     The staged tables are written first, typed, under their names in the staging layer; everything
-    after reads those. A row without its key stops the build there. The funnel and the daily funnel are written before anything reads them. Checks run before any
-    export and stop the build. The funnel is partitioned by day, which prunes the scans of incident
+    after reads those. A row without its key, or whose declared foreign key has no parent, stops the
+    build there. The funnel and the daily funnel are written before anything reads them. Checks run
+    before any export and stop the build. The funnel is partitioned by day, which prunes the scans of incident
     and date ranges; pass ``()`` for a few days of data.
     """
     tables = raw.read_raw(spark, raw_directory)
@@ -85,6 +86,7 @@ def build_warehouse(
         },
     )
     quality.run_checks(quality.null_key_checks(staged))
+    quality.run_checks(quality.foreign_key_checks(staged))
 
     search_funnel = warehouse.save_table(
         build_funnel(staged), "analytics.search_funnel", prefix, partition_funnel_by
