@@ -1,22 +1,23 @@
-"""Licence scans: fixed phrases, and exact set-similarity joins of text blocks with templates.
-
-Notices are compared with overlapping windows of words, whatever the line breaks. A window holds
-about as many words as the notice and none that names another licence; it matches if it has all of
-the notice's required words and enough of the others. The required word that fewest texts have
-leads to the notice.
-
-Templates are compared with lines. A block is a line. It matches a template if it holds at least a share of the template's distinct
-words. Words of templates are ordered by how many texts have them, rarest first. A matching block
-must hold one of the first words of the template in that order (prefix), enough template words
-(length), and enough of them from the shared word on (positions); only what passes is compared.
+"""Licence scans: fixed phrases, and an exact set-similarity join of text blocks with templates.
+
+Templates are whole notices and the ways in which licences are named. A block is a window of words,
+whatever the line breaks: for templates of up to S words, a power of two, windows of 2 S words start
+at every S-th word, so that any S words in a row lie in one. A block matches a template if it holds
+at least a share of the template's distinct words; short templates must be held whole.
+
+Words are ordered by how many texts have them, rarest first. A matching block must hold one of the
+first words of the template in that order (prefix), enough words of templates (length), and enough
+of them from the shared word on (positions); only what passes is compared. Of templates that are so
+alike that one's words match the other, a block keeps those of which it holds the largest share, and
+of equal shares the most words: a notice of the Lesser GPL is not one of the GPL as well.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from wayfunnel.llm.common import map_texts
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+SHORT = 10  # templates of fewer distinct words must be held whole
+LEAST_STEP = 8  # words between blocks
 
 # The phrases and labels of the scan.
 PHRASES = {
@@ -33,37 +36,7 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Opening words of public licence notices, each with the label it stands for.
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike license"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("mit", "released under the mit license"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
-    ("public-domain", "this is free and unencumbered software released into the public domain"),
-)
-
-
-@dataclass(frozen=True)
-class Notice:
-    """The words of a notice, those of them that must be there, and those that must not.
-
-    Without required words the notice is a phrase: all its words in order and no others.
-    """
-
-    label: str
-    text: str
-    required: str = ""
-    without: str = ""
-
-    def words(self) -> list[str]:
-        return [word.decode() for word in WORD.findall(self.text.lower().encode())]
-
-
+# Public licence notices.
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
 except in compliance with the License. You may obtain a copy of the License at"""
 _APACHE_TERMS = """Unless required by applicable law or agreed to in writing, software distributed under
@@ -92,45 +65,46 @@ code form or as a compiled binary, for any purpose, commercial or non-commercial
 means."""
 
 
-def _notices() -> Iterator[Notice]:
-    yield Notice("apache-2.0", _APACHE, "apache license 2 0 compliance")
-    yield Notice("apache-2.0", _APACHE_TERMS, "warranties conditions governing limitations license")
-    yield Notice("apache-2.0", "Apache License Version 2.0")
-    yield Notice("bsd", _BSD, "redistribution source binary forms modification permitted")
-    yield Notice("bsd", "BSD License")
-    yield Notice("isc", _ISC, "permission purpose fee granted copies")
-    yield Notice("isc", "ISC License")
-    yield Notice("mit", _MIT, "permission charge merge sublicense sell restriction")
-    yield Notice("mit", "MIT License")
-    yield Notice("mpl-2.0", _MPL, "mozilla public 2 0")
-    yield Notice("mpl-2.0", "Mozilla Public License 2.0")
-    yield Notice("mpl-2.0", "Mozilla Public License Version 2.0")
-    yield Notice("public-domain", _UNLICENSE, "unencumbered public domain")
-    yield Notice("public-domain", "unencumbered software released into the public domain")
-    others = {"": "lesser library affero", "Lesser": "affero library", "Affero": "lesser library"}
-    for kind, start, numbers in (("", "gpl", "23"), ("Lesser", "lgpl", "3"), ("Affero", "agpl", "3")):
+def _templates() -> Iterator[tuple[str, str]]:
+    yield "apache-2.0", _APACHE
+    yield "apache-2.0", _APACHE_TERMS
+    yield "bsd", _BSD
+    yield "isc", _ISC
+    yield "mit", _MIT
+    yield "mpl-2.0", _MPL
+    yield "public-domain", _UNLICENSE
+    yield "public-domain", "unencumbered software released into the public domain"
+    for verb in ("licensed", "released", "distributed"):
+        yield "apache-2.0", f"{verb} under the Apache License, Version 2.0"
+        for name in ("BSD", "ISC", "MIT"):
+            yield name.lower(), f"{verb} under the {name} License"
+        yield "mpl-2.0", f"{verb} under the Mozilla Public License 2.0"
+    for start, kind, numbers in (
+        ("gpl", "", ("2", "3")),
+        ("lgpl", "Lesser", ("2.1", "3")),
+        ("agpl", "Affero", ("3",)),
+    ):
         for number in numbers:
-            label, named = f"{start}-{number}.0", f"GNU {kind} General Public License"
-            needed = f"gnu {kind.lower()} general public license {number}"
-            yield Notice(label, _GNU.format(kind, number), needed, others[kind])
-            yield Notice(label, f"{named} version {number}")
-            yield Notice(label, f"{named} v{number}")
-            yield Notice(label, f"version {number} of the {named}")
-    yield Notice("lgpl-2.1", _GNU.format("Lesser", "2.1"), "gnu lesser general public 2 1", "affero")
-    yield Notice("lgpl-2.1", "GNU Lesser General Public License version 2.1")
+            label = f"{start}-{number}" if "." in number else f"{start}-{number}.0"
+            yield label, _GNU.format(kind, number)
+            yield label, f"GNU {kind} General Public License version {number}"
+            yield label, f"GNU {kind} General Public License v{number}"
     full = {"by": "Attribution", "nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
     for kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"):
         spelled = " ".join(full[part] for part in kind.split("-"))
         hyphened = spelled.replace("NonCommercial", "Non-Commercial").replace("ShareAlike", "Share-Alike")
         for version in ("3.0", "4.0"):
-            yield Notice(f"cc-{kind}-{version}", f"CC {kind} {version}")
+            yield f"cc-{kind}-{version}", f"CC {kind} {version}"
             for name in sorted({spelled, hyphened}):
-                yield Notice(f"cc-{kind}-{version}", f"Creative Commons {name} {version}")
-                yield Notice(f"cc-{kind}-{version}", f"Creative Commons {name} License {version}")
+                yield f"cc-{kind}-{version}", f"Creative Commons {name} {version}"
+
 
+def words_of(text: str) -> list[str]:
+    return [word.decode() for word in WORD.findall(text.lower().encode())]
 
-# Public licence notices and the ways in which licences are named.
-NOTICES = tuple(_notices())
+
+# (label, words) of notices and of the ways in which licences are named.
+TEMPLATES = tuple((label, " ".join(words_of(text))) for label, text in _templates())
 
 
 def vocabulary(templates) -> list[str]:
@@ -155,6 +129,19 @@ def word_frequencies(documents: DataFrame, text: str, words: list[str]) -> dict[
     return {row["word"]: row["n"] for row in rows}
 
 
+def step_of(template: str) -> int:
+    """Words between the blocks that the template is compared with; a block is twice as long."""
+    step = LEAST_STEP
+    while step < len(template.split()):
+        step *= 2
+    return step
+
+
+def needed_of(template: str, threshold: float) -> int:
+    size = len(set(template.split()))
+    return size if size < SHORT else math.ceil(threshold * size - 1e-9)
+
+
 class TemplateIndex:
     """Templates with their words in global order, and the prefix words that lead to them."""
 
@@ -166,7 +153,17 @@ class TemplateIndex:
             (label, sorted({self.order[w.encode()] for w in text.split()}))
             for label, text in templates
         ]
-        self.needed = [math.ceil(threshold * len(t) - 1e-9) for _, t in self.templates]
+        self.needed = [needed_of(text, threshold) for _, text in templates]
+        self.steps = [step_of(text) for _, text in templates]
+        self.rivals = [
+            {
+                j
+                for j, (_, other) in enumerate(self.templates)
+                if j != i and self.steps[j] == self.steps[i]
+                and len(set(own) & set(other)) >= self.needed[i]
+            }
+            for i, (_, own) in enumerate(self.templates)
+        ]
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for number, (_, tokens) in enumerate(self.templates):
             for place, token in enumerate(tokens[: len(tokens) - self.needed[number] + 1]):
@@ -176,112 +173,51 @@ class TemplateIndex:
             rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(leading) + rb")(?![0-9a-z\x80-\xff])"
         )
 
-    def matches(self, data: bytes) -> list[tuple[str, int, float]]:
-        """(label, block, containment) of every block and template at or above the threshold."""
+    def matches(self, data: bytes, words: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, words, containment) of every block and template that match."""
+        if not self.leading.search(data):
+            return []
+        spots = [(i, self.order[w]) for i, w in enumerate(words) if w in self.order]
+        places = [i for i, _ in spots]
+        asked: dict[tuple[int, int], set[int]] = {}
+        for i, token in spots:
+            for number, _ in self.prefixes.get(token, ()):
+                step = self.steps[number]
+                for block in {i // step, max(i // step - 1, 0)}:
+                    asked.setdefault((step, block), set()).add(number)
         found = []
-        block, counted = 0, 0
-        done = -1
-        for hit in self.leading.finditer(data):
-            block += data.count(b"\n", counted, hit.start())
-            counted = hit.start()
-            if block == done:
-                continue
-            done = block
-            start = data.rfind(b"\n", 0, hit.start()) + 1
-            end = data.find(b"\n", hit.end())
-            line = data[start : len(data) if end < 0 else end]
-            found += [(label, block, share) for label, share in self._match(line)]
+        for (step, block), numbers in sorted(asked.items()):
+            start = block * step
+            held = spots[bisect_left(places, start) : bisect_left(places, start + 2 * step)]
+            overlaps = self._overlaps(sorted({token for _, token in held}), numbers)
+            for number, overlap in overlaps.items():
+                label, template = self.templates[number]
+                share = overlap / len(template)
+                better = (
+                    (overlaps[r] / len(self.templates[r][1]), overlaps[r])
+                    for r in self.rivals[number] & overlaps.keys()
+                )
+                if not any(rival > (share, overlap) for rival in better):
+                    found.append((label, start, 2 * step, share))
         return found
 
-    def _match(self, line: bytes) -> Iterator[tuple[str, float]]:
-        tokens = sorted({self.order[w] for w in WORD.findall(line) if w in self.order})
-        held = set(tokens)
-        tried = set()
+    def _overlaps(self, tokens: list[int], numbers: set[int]) -> dict[int, int]:
+        """How many words a block of these tokens shares with each template that it matches."""
+        held, tried, found = set(tokens), set(), {}
         for place, token in enumerate(tokens):
             for number, position in self.prefixes.get(token, ()):
-                label, template = self.templates[number]
-                if number in tried:
+                if number in tried or number not in numbers:
                     continue
                 tried.add(number)  # the first shared word: none is shared before it
+                template = self.templates[number][1]
                 most = min(len(tokens) - place, len(template) - position)
-                if most < self.needed[number]:
+                if len(tokens) < self.needed[number] or most < self.needed[number]:
                     continue
                 overlap = sum(t in held for t in template)
                 if overlap >= self.needed[number]:
-                    yield label, overlap / len(template)
-
-
-class NoticeIndex:
-    """Notices by the required word that fewest texts have."""
-
-    def __init__(self, notices, frequencies: Mapping[str, int], threshold: float):
-        self.notices = []
-        self.leads: dict[bytes, list[int]] = {}
-        for notice in notices:
-            words = notice.words()
-            distinct = {w.encode() for w in words}
-            required = {w.encode() for w in notice.required.split()} or distinct
-            room = math.ceil(1.25 * len(words))
-            least = math.ceil(threshold * len(distinct) - 1e-9)
-            without = {w.encode() for w in notice.without.split()}
-            lead = min(required, key=lambda w: (frequencies.get(w.decode(), 0), w))
-            self.leads.setdefault(lead, []).append(len(self.notices))
-            phrase = None if notice.required else [w.encode() for w in words]
-            offset = phrase.index(lead) if phrase else 0
-            self.notices.append((notice.label, distinct, required, without, room, least, phrase, offset, lead))
-        used = [n[1] | n[3] for n in self.notices]
-        self.words = frozenset().union(*used)
-
-    def matches(self, words: list[bytes]) -> list[tuple[str, int, float]]:
-        """(label, first word, containment) of the best window of every notice that matches."""
-        led = [n for lead in self.leads.keys() & set(words) for n in self.leads[lead]]
-        if not led:
-            return []
-        places: dict[bytes, list[int]] = {}
-        for place, word in enumerate(words):
-            if word in self.words:
-                places.setdefault(word, []).append(place)
-        found = []
-        for number in sorted(led):
-            label, distinct, required, without, room, least, phrase, offset, lead = self.notices[number]
-            if phrase:
-                starts = (i - offset for i in places[lead] if i >= offset)
-                first = next((i for i in starts if words[i : i + len(phrase)] == phrase), None)
-                if first is not None:
-                    found.append((label, first, 1.0))
-                continue
-            # length filter: enough words in the whole text
-            if not required <= places.keys() or sum(w in places for w in distinct) < least:
-                continue
-            best = self._best(places, distinct, required, without, room)
-            if best and best[0] >= least:
-                found.append((label, -best[1], best[0] / len(distinct)))
+                    found[number] = overlap
         return found
 
-    @staticmethod
-    def _best(places, distinct, required, without, room) -> tuple[int, int] | None:
-        """Most words of the notice in a window, and less the place of the first of them."""
-        spots = sorted((i, w) for w in distinct | without for i in places.get(w, ()))
-        held: dict[bytes, int] = {}
-        best, left, needed = None, 0, 0
-        for right, (place, word) in enumerate(spots):
-            if word in without:
-                held.clear()
-                left, needed = right + 1, 0
-                continue
-            while spots[left][0] <= place - room:
-                old = spots[left][1]
-                held[old] -= 1
-                if not held[old]:
-                    del held[old]
-                    needed -= old in required
-                left += 1
-            needed += word in required and word not in held
-            held[word] = held.get(word, 0) + 1
-            if needed == len(required) and (best is None or len(held) > best[0]):
-                best = (len(held), -spots[left][0])
-        return best
-
 
 class Phrases:
     """Places where the words of a phrase stand one after another."""
@@ -311,20 +247,19 @@ def scan(
     carry: list[str],
     phrases: Mapping[str, str] = PHRASES,
     templates=TEMPLATES,
-    notices=(),
     threshold: float = 0.8,
 ) -> DataFrame:
     """The carried columns, n_words, places (word number from 0, label) of phrases in order, and
-    matches (label, block, containment) of lines with templates and of the best window with each
-    notice, whose block is its first word's number.
+    matches (label, start, words, containment) of blocks, by their first word and number of words,
+    with templates.
 
-    A-Z are lower-cased first. Null and empty texts have no words, places or matches. Two passes
-    over the text and no shuffle of it; templates and their word counts are bounded by the list.
+    A-Z are lower-cased first. Null and empty texts have no words, places or matches; repeated rows
+    stay. Carried columns must not be called n_words, places or matches; others are neither read nor
+    returned. Two passes over the text and no shuffle of it; templates and their word counts are
+    bounded by the list.
     """
-    wanted = {*vocabulary(templates), *(word for notice in notices for word in notice.words())}
-    frequencies = word_frequencies(documents, text, sorted(wanted))
-    fixed, windows = Phrases(phrases), NoticeIndex(notices, frequencies, threshold)
-    index = TemplateIndex(templates, frequencies, threshold) if templates else None
+    frequencies = word_frequencies(documents, text, vocabulary(templates))
+    fixed, index = Phrases(phrases), TemplateIndex(templates, frequencies, threshold)
 
     def work(texts: list[str | None]) -> list[pa.Array]:
         counts, places, matches = [], [], []
@@ -333,16 +268,16 @@ def scan(
             words = WORD.findall(data)
             counts.append(len(words))
             places.append([{"word": w, "label": label} for w, label in fixed.places(data, words)])
-            found = (index.matches(data) if index else []) + windows.matches(words)
-            matches.append(
-                [
-                    {"label": label, "block": block, "containment": share}
-                    for label, block, share in found
-                ]
-            )
+            names = ("label", "start", "words", "containment")
+            matches.append([dict(zip(names, m, strict=True)) for m in index.matches(data, words)])
         kinds = (
             {"word": pa.int64(), "label": pa.string()},
-            {"label": pa.string(), "block": pa.int64(), "containment": pa.float64()},
+            {
+                "label": pa.string(),
+                "start": pa.int64(),
+                "words": pa.int64(),
+                "containment": pa.float64(),
+            },
         )
         return [pa.array(counts, pa.int64())] + [
             pa.array(rows, pa.list_(pa.struct(list(kind.items()))))
@@ -351,7 +286,7 @@ def scan(
 
     added = (
         "n_words long, places array<struct<word:long,label:string>>, "
-        "matches array<struct<label:string,block:long,containment:double>>"
+        "matches array<struct<label:string,start:long,words:long,containment:double>>"
     )
     return map_texts(documents, text, carry, added, work)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayfunnel.llm.licences import TEMPLATES
+from wayfunnel.llm.licences import TEMPLATES, needed_of, step_of
 
 # As in mixing: md5 digits to a number in [0, 1), and the Poisson sums that it reaches.
 MIXING = """
@@ -40,49 +40,69 @@ FROM copied
 """
 
 
-# Base phrases by word number, templates by the share of their distinct words in a line.
+def _licence_templates() -> str:
+    """(number, label, words, step, needed) of the templates."""
+    rows = []
+    for number, (label, text) in enumerate(TEMPLATES):
+        words = ", ".join(f"'{w}'" for w in sorted(set(text.split())))
+        rows.append(f"({number}, '{label}', [{words}], {step_of(text)}, {needed_of(text, 0.8)})")
+    return ",\n         ".join(rows)
+
+
+# Base phrases by word number; every template with every block of the texts that hold enough of its
+# words, and of templates that match each other's words the better one in a block.
 LICENCES = r"""
 WITH lowered AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                            'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents
 ), worded AS (
-  SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM lowered
 ), phrases(label, p) AS (
   VALUES ('cc-by', ['cc', 'by']), ('gpl', ['general', 'public', 'license']),
          ('reserved', ['all', 'rights', 'reserved'])
 ), numbered AS (
-  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM worded
 ), places AS (
-  SELECT doc_id, i - 1 AS word, label
+  SELECT r, i - 1 AS word, label
   FROM numbered JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p
 ), base AS (
-  SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word,
+  SELECT r, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word,
          list(DISTINCT label) AS labels
-  FROM places GROUP BY doc_id
-), templates(label, text) AS (
+  FROM places GROUP BY r
+), templates(number, label, words, step, needed) AS (
   VALUES TEMPLATES
-), tokens AS (
-  SELECT label, list_distinct(string_split(text, ' ')) AS t FROM templates
-), lines AS (
-  SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM lowered
 ), sets AS (
-  SELECT doc_id,
-         list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS s
-  FROM lines
-), found AS (
-  SELECT doc_id, label, len(list_intersect(t, s))::DOUBLE / len(t) AS share
-  FROM sets, tokens WHERE len(list_intersect(t, s)) >= 0.8 * len(t)
+  SELECT r, w, list_distinct(w) AS held FROM worded
+), candidates AS (
+  SELECT r, w, number, label, words, step, needed
+  FROM sets, templates WHERE len(list_intersect(words, held)) >= needed
+), blocks AS (
+  SELECT *, unnest(range(0, (len(w) + step - 1) // step)) AS block FROM candidates
+), shares AS (
+  SELECT r, number, label, words, step, needed, block,
+         len(list_intersect(words, w[block * step + 1:block * step + 2 * step])) AS shared
+  FROM blocks
+), matches AS (
+  SELECT *, shared::DOUBLE / len(words) AS share FROM shares WHERE shared >= needed
+), kept AS (
+  SELECT * FROM matches a WHERE NOT EXISTS (
+    SELECT 1 FROM matches b
+    WHERE b.r = a.r AND b.step = a.step AND b.block = a.block AND b.number <> a.number
+      AND len(list_intersect(a.words, b.words)) >= a.needed
+      AND (b.share > a.share OR b.share = a.share AND b.shared > a.shared))
 ), matched AS (
-  SELECT doc_id, max(share) AS share, list(DISTINCT label) AS labels FROM found GROUP BY doc_id
+  SELECT r, max(share) AS share, list(DISTINCT label) AS labels FROM kept GROUP BY r
 )
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '')
     AS labels,
   CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.share, 0.0) END AS score
-FROM worded d LEFT JOIN base b USING (doc_id) LEFT JOIN matched m USING (doc_id)
-""".replace("TEMPLATES", ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES))
+FROM worded d LEFT JOIN base b USING (r) LEFT JOIN matched m USING (r)
+""".replace("TEMPLATES", _licence_templates())
 
 # SHA-1 of the payload from hexadecimal to base32, five digits at a time.
 WARC = """
