@@ -116,42 +116,52 @@ def mix(
     """Every document as often as its draw says, with the copy's number from 0 and its place in the
     global order: sorted by that number in each partition, with like chances for all partitions.
 
-    Rows with one key draw the same number; a null key is hashed like an empty one. A null source
-    matches the null source's rate, and a document whose source has no rate goes.
+    Rows with one key draw the same number, and repeated rows are drawn each; a null key is hashed
+    like an empty one. A null source matches the null source's rate, and a document whose source has
+    no rate goes. All columns stay; `copy` and `order` must not be among them, in any letter case.
     """
+    taken = [*documents.columns, copy, order]
+    own = {
+        name: fresh(name, taken)
+        for name in ("_source", "_fewest", "_steps", "_copies", "_start", "_first", "_number", "_one")
+    }
     rate = rates.select(
-        F.col("source").alias("_source"), F.col("fewest").alias("_fewest"), F.col("steps").alias("_steps")
+        *[F.col(name).alias(own[f"_{name}"]) for name in ("source", "fewest", "steps")]
     )
     names = [F.col(f"`{name}`") for name in documents.columns]
 
     def drawn_copies(rate: DataFrame) -> DataFrame:
         """The documents of the sources with their number of copies."""
-        joined = documents.join(rate, F.col(source).eqNullSafe(F.col("_source")))
-        drawn = uniform(F.lit(seed), F.col(key))
+        joined = documents.join(rate, F.col(f"`{source}`").eqNullSafe(F.col(own["_source"])))
+        drawn = uniform(F.lit(seed), F.col(f"`{key}`"))
         # copies: how many cumulative probabilities the draw has reached. The draw is bound once by
         # the outer function; named in a column, it would be worked out for every step.
         reached = F.transform(
-            F.array(drawn), lambda u: F.size(F.filter("_steps", lambda s: s <= u))
+            F.array(drawn), lambda u: F.size(F.filter(own["_steps"], lambda s: s <= u))
         )
-        copies = (F.col("_fewest") + F.get(reached, F.lit(0))).cast("int")
-        return joined.select(*names, copies.alias("_copies"))
+        copies = (F.col(own["_fewest"]) + F.get(reached, F.lit(0))).cast("int")
+        return joined.select(*names, copies.alias(own["_copies"]))
 
     def numbered(drawn: DataFrame, first: Column, size: Column) -> DataFrame:
-        repeated = F.posexplode(F.array_repeat(F.lit(True), size)).alias("_number", "_one")
-        found = drawn.select(*names, first.alias("_first"), repeated)
-        return found.select(*names, (F.col("_first") + F.col("_number")).alias(copy))
+        repeated = F.posexplode(F.array_repeat(F.lit(True), size)).alias(
+            own["_number"], own["_one"]
+        )
+        found = drawn.select(*names, first.alias(own["_first"]), repeated)
+        number = F.col(own["_first"]) + F.col(own["_number"])
+        return found.select(*names, number.alias(copy))
 
     # a document of a source with many copies goes out in parts of bounded size, over all tasks
-    many = F.size("_steps") > STEPS_IN_PLACE
-    copies = numbered(drawn_copies(rate.where(~many)), F.lit(0), F.col("_copies"))
+    many = F.size(own["_steps"]) > STEPS_IN_PLACE
+    drawn, start = F.col(own["_copies"]), F.col(own["_start"])
+    copies = numbered(drawn_copies(rate.where(~many)), F.lit(0), drawn)
     if not rate.where(many).isEmpty():
-        starts = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(PART))).alias("_start")
-        parts = drawn_copies(rate.where(many)).where("_copies > 0").select(*names, "_copies", starts)
+        starts = F.explode(F.sequence(F.lit(0), drawn - 1, F.lit(PART))).alias(own["_start"])
+        parts = drawn_copies(rate.where(many)).where(drawn > 0).select(*names, drawn, starts)
         tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = parts.repartition(tasks, F.xxhash64(F.col(key), F.col("_start")))
-        size = F.least(F.lit(PART), F.col("_copies") - F.col("_start"))
-        copies = copies.unionByName(numbered(parts, F.col("_start"), size))
-    copies = copies.withColumn(order, uniform(F.lit(seed + 1), F.col(key), F.col(copy)))
+        parts = parts.repartition(tasks, F.xxhash64(F.col(f"`{key}`"), start))
+        size = F.least(F.lit(PART), drawn - start)
+        copies = copies.unionByName(numbered(parts, start, size))
+    copies = copies.withColumn(order, uniform(F.lit(seed + 1), F.col(f"`{key}`"), F.col(copy)))
     cell = F.floor(F.col(order) * 1_000_000)
     return copies.repartition(cell).sortWithinPartitions(order)
 

@@ -23,7 +23,7 @@ from wayfunnel.llm import (
     top_k,
     warc,
 )
-from wayfunnel.llm.common import crc_of_id, lower_ascii, scratch, table
+from wayfunnel.llm.common import crc_of_id, fresh, lower_ascii, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +62,9 @@ def op4_licences(spark: SparkSession, directory: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
-    return mixing.mix(documents, mixing.source_rates(documents))
+    added = {"copy": "copy", "order": "shuffle_key"}
+    names = {kind: fresh(name, documents.columns) for kind, name in added.items()}
+    return mixing.mix(documents, mixing.source_rates(documents), **names)
 
 
 def learnt_quality(key: str = "doc_id"):
