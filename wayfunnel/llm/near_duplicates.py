@@ -251,6 +251,7 @@ def keep_one(
     """
     columns = documents.columns
     name, row = fresh("fingerprint", columns), fresh("row", columns)
+    chosen = fresh("_kept", columns)
     marked = fingerprints(documents, text=text, carry=columns, name=name, words=words)
     marked = written(marked.withColumn(row, F.monotonically_increasing_id()), "marked")
     thin = marked.select(F.col(key).alias("key"), F.col(name).alias("f"), F.col(row).alias("row"))
@@ -258,7 +259,8 @@ def keep_one(
     kept = (
         grouped.where(F.col("key").eqNullSafe(F.col("component_id")))
         .groupBy("component")
-        .agg(F.min("row").alias("_kept"))
-        .select("_kept")
+        .agg(F.min("row").alias(chosen))
+        .select(chosen)
     )
-    return marked.join(kept, marked[row] == F.col("_kept"), "left_semi").select(*columns)
+    names = [F.col(f"`{column}`") for column in columns]
+    return marked.join(kept, marked[row] == F.col(chosen), "left_semi").select(*names)
