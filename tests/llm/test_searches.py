@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfunnel.llm import near_duplicates, nearest, queries, top_k, warc
+from wayfunnel.llm import mixing, near_duplicates, nearest, queries, top_k, warc
 from wayfunnel.llm.common import scratch, table
 from wayfunnel.llm.gray_index import Forest, components
 
@@ -124,15 +126,18 @@ def test_nearest_recall_and_exact_scores(spark):
     frame, values = vectors(spark)
     graph = nearest.Graph(shard=400, queries=10)
     found = answers(nearest.nearest(frame, F.col("id") % 50 == 0, graph=graph))
+    short = np.eye(1, values.shape[1])  # 5300 counts as filled up with zeros
+    values, ids = np.concatenate([values, short]), np.append(np.arange(1500), 5300)
     unit = values / np.linalg.norm(values, axis=1, keepdims=True)
-    assert sorted(found) == list(range(0, 1500, 50))
+    assert sorted(found) == [*range(0, 1500, 50), 5300]
     hits = 0
     for query, got in found.items():
-        exact = unit @ unit[query]
-        exact[query] = -9
+        own = min(query, 1500)
+        exact = unit @ unit[own]
+        exact[own] = -9
         best = np.lexsort((np.arange(len(exact)), -exact.round(12)))[:5]
-        hits += len({i for i, _ in got} & set(best.tolist()))
-        assert [s for _, s in got] == pytest.approx([exact[i] for i, _ in got], abs=1e-12)
+        hits += len({i for i, _ in got} & set(ids[best].tolist()))
+        assert [s for _, s in got] == pytest.approx([exact[min(i, 1500)] for i, _ in got], abs=1e-12)
         assert got == sorted(got, key=lambda x: (-x[1], x[0]))
     assert hits >= 0.9 * 5 * len(found)
     assert [i for i, _ in found[100]] == [101, 102, 103, 104, 105]
@@ -155,8 +160,9 @@ def test_top_k_is_exact(spark, lists):
         top_k.top_k(frame, F.col("id") % 50 == 0, lists=lists, depth=2, block=300, queries=9)
     )
     whole = np.floor(256 * values).astype(np.int64)
-    whole = np.concatenate([whole, np.zeros((1, whole.shape[1]), np.int64)])
-    ids = np.append(np.arange(1500), 5050)  # a zero vector takes part here
+    # a zero vector takes part here, and a short one filled up with zeros
+    whole = np.concatenate([whole, np.zeros((1, whole.shape[1]), np.int64), 256 * np.eye(1, whole.shape[1], dtype=np.int64)])
+    ids = np.append(np.arange(1500), [5050, 5300])
     assert sorted(found) == sorted(i for i in ids.tolist() if i % 50 == 0)
     for query, got in found.items():
         own = int(np.flatnonzero(ids == query)[0])
@@ -238,3 +244,60 @@ def test_pipeline_stages_take_effect(spark):
         if name == "mixing":
             assert len(set(ids)) < len(ids)
     assert kept.agg(F.sum("length")).first()[0] > 0
+
+
+def few_vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_top_k_of_large_components(spark):
+    rows = [
+        (0, [1e8, 1.0, -3.0]), (1, [1e8, 2.0, 5.0]), (2, [1e8, 2.0, 4.0]), (3, [1e6, 0.0, 0.0]),
+        (4, [1e20, 0.0, 1.0]), (5, [-1e20, 7.0, 0.0]), (6, [1e200, 1e300, 0.0]), (7, [2e9, 1.0, 1.0]),
+        (50, [1e6, 1e6, 0.5]), (100, [1.0, -1.0, 2.0]), (150, [-1e8, 1e8, 0.0]),
+    ]
+    whole = {i: [math.floor(256 * Fraction(x)) for x in v] for i, v in rows}
+    longest = (1 << 63) - 1
+    want = []
+    for q in (0, 50, 100, 150):
+        scores = [
+            (max(-longest - 1, min(longest, sum(a * b for a, b in zip(whole[q], v, strict=True)))), i)
+            for i, v in whole.items()
+            if i != q
+        ]
+        best = sorted(scores, key=lambda s: (-s[0], s[1]))[:5]
+        want += [(q, rank, i, score) for rank, (score, i) in enumerate(best, 1)]
+    found = top_k.top_k(few_vectors(spark, rows), F.col("id") % 50 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
+def test_vectors_of_unequal_lengths_are_filled_up(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0, 0.0]), (2, [0.0, 1.0, 5.0]), (3, [2.0]), (4, [])]
+    found = nearest.nearest(few_vectors(spark, rows), F.col("id") % 50 == 0).collect()
+    assert [(r["vec_id"], round(r["score"], 6)) for r in found] == [
+        (1, 1.0), (3, round(1 / 5**0.5, 6)), (2, round(2 / 130**0.5, 6)),
+    ]
+    scores = top_k.top_k(few_vectors(spark, rows), F.col("id") % 50 == 0).collect()
+    assert [(r["vec_id"], r["score"]) for r in scores] == [
+        (1, 5 * 65536), (2, 2 * 65536), (3, 2 * 65536),
+    ]
+
+
+def test_cosines_of_very_large_and_small_numbers(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e-200, 2e-200]), (2, [3e-200, 0.0]), (3, [-1e200, 1e-200])]
+    found = nearest.nearest(few_vectors(spark, rows), F.col("id") % 50 == 0).collect()
+    assert [r["vec_id"] for r in found] == [1, 2, 3]
+    assert np.allclose([r["score"] for r in found], [1.0, 5**-0.5, -(5**-0.5)])
+
+
+def test_helper_columns_may_clash(spark):
+    names = "_source _fewest _steps _copies _start _first _number _one copy shuffle_key _kept row fingerprint Copy_"
+    rows = [(i, f"text {i} of some words", f"s{i % 3}") for i in range(30)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = plain.withColumns({name: F.lit(name) for name in names.split()})
+    mixed = mixing.mixed_documents(clash, targets={"s0": 200.0, "s1": 1.0})
+    assert mixed.columns == clash.columns
+    same = mixing.mixed_documents(plain, targets={"s0": 200.0, "s1": 1.0})
+    assert mixed.count() == same.count() and mixed.where("_kept <> '_kept'").count() == 0
+    kept = near_duplicates.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == near_duplicates.keep_one(plain).count()

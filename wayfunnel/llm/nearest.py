@@ -185,7 +185,11 @@ def walk(index: dict, unit: np.ndarray, beam: int) -> np.ndarray:
 
 
 def cosines(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Cosine in double precision, row by row."""
+    """Cosine in double precision, row by row, whatever the size of the numbers: rows are scaled by
+    powers of two, which changes no digit."""
+    one, other = (
+        np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (one, other)
+    )
     return (one * other).sum(axis=1) / (
         np.sqrt((one * one).sum(axis=1)) * np.sqrt((other * other).sum(axis=1))
     )
@@ -236,7 +240,8 @@ def nearest(
     """(query_id, rank, vec_id, score): the k nearest found of each row that is_query (on `id`)
     selects, its own row left out, ties to the smaller id.
 
-    Vectors that are null, zero, or hold a null or a number that is not finite take no part. Rows
+    Vectors that are null, empty, zero, or hold a null or a number that is not finite take no part;
+    shorter ones count as filled up with zeros to the longest. Rows
     that share a vector or an id are rows of their own. The graph is approximate: its recall is
     measured against brute force; scores are exact. Rows with a null id are left out.
     """

@@ -27,8 +27,8 @@ def unpacked(data: bytes) -> dict[str, np.ndarray]:
 
 def usable(rows: DataFrame, key: str, vector: str, *, zero: bool) -> DataFrame:
     """(row, id, vector) of the rows whose vector is not null and holds only finite numbers; zero:
-    whether all may be zero. row is a number of its own for each. Vectors of another length than
-    the commonest (of equally common ones the shortest) take no part, nor do empty ones."""
+    whether all may be zero. row is a number of its own for each. Shorter vectors are filled up with
+    zeros to the longest, which changes neither inner products nor cosines; empty ones take no part."""
     found = F.col(vector).cast("array<double>")
     finite = F.forall(
         found, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
@@ -38,9 +38,12 @@ def usable(rows: DataFrame, key: str, vector: str, *, zero: bool) -> DataFrame:
         kept = kept & F.exists(found, lambda x: x != 0)
     sound = rows.select(F.col(key).cast("long").alias("id"), found.alias("vector")).where(kept)
     numbered = written(sound.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    sizes = numbered.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"))
-    common = sizes.orderBy(F.desc("rows"), "n").limit(1).select("n").collect()
-    return numbered.where(F.size("vector") == (common[0]["n"] if common else 0))
+    width = F.size("vector")
+    shortest, longest = numbered.agg(F.min(width), F.max(width)).first()
+    if shortest == longest:
+        return numbered
+    filled = F.concat("vector", F.array_repeat(F.lit(0.0), F.lit(longest) - width))
+    return numbered.withColumn("vector", filled)
 
 
 def blocks(vectors: DataFrame, size: int, pack: Callable[[pd.DataFrame], bytes]) -> DataFrame:
