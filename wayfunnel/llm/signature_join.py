@@ -11,13 +11,14 @@ class, which nothing collides with, only count towards it. Classes that share fe
 values with anyone are skipped altogether. Collisions are then counted list by list. Long lists are
 mostly copies of one another, so each list is first merged around a pivot, round after round; what
 is one component by then is skipped, and the classes left in a list are compared chunk by chunk
-where they belong to different components and their sizes allow it. Every pair that shares a list
-is either in one component or compared, so no link between components is lost.
+where they belong to different components and their sizes allow it. There the whole sets travel with
+the chunks, so that only links come out. Every pair that shares a list is either in one component or
+compared, so no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from wayfunnel.llm.components import components
 COORDINATES, MATCHES = 64, 34
 LEAST = 80  # per cent of the union that two sets share
 CHUNK = 128
+FILTER_BITS = 1 << 24  # at most 262,144 words of 64 bits are broadcast
 _KEPT_WORDS = 1_000_000
 
 
@@ -78,6 +80,7 @@ def signature(members: np.ndarray, at_once: int = 1 << 14) -> np.ndarray:
 
 def _sets(documents: DataFrame, text: str, key: str, width: int, added: list[str]) -> DataFrame:
     """key, n_shingles and of `added`: set_id (null where the set is empty), signature, members."""
+    kinds = {"members": ("array<long>", pa.list_(pa.int64()))}
 
     def work(texts: list[str | None]) -> list[pa.Array]:
         hashes = _WordHashes()
@@ -85,12 +88,16 @@ def _sets(documents: DataFrame, text: str, key: str, width: int, added: list[str
         made = {
             "set_id": lambda m: xxhash.xxh3_128_digest(m.tobytes()) if len(m) else None,
             "signature": lambda m: signature(m).tobytes() if len(m) else None,
-            "members": lambda m: m.tobytes(),
+            "members": lambda m: m.view(np.int64),
         }
-        columns = [pa.array([made[name](m) for m in sets], pa.binary()) for name in added]
+        columns = [
+            pa.array([made[name](m) for m in sets], kinds.get(name, ("", pa.binary()))[1])
+            for name in added
+        ]
         return [pa.array([len(m) for m in sets], pa.int64()), *columns]
 
-    ddl = ", ".join(["n_shingles long", *[f"{name} binary" for name in added]])
+    ddl = ["n_shingles long", *[f"{name} {kinds.get(name, ('binary',))[0]}" for name in added]]
+    ddl = ", ".join(ddl)
     return map_texts(documents, text, [key], ddl, work)
 
 
@@ -142,22 +149,35 @@ def _matching(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     return both.mapInArrow(kept, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are that similar."""
+def _whole_sets(
+    documents: DataFrame, wanted: DataFrame, key: str, text: str, width: int
+) -> DataFrame:
+    """(rep, members) of the wanted classes (rep, set_id, smallest), from texts of smallest keys.
+
+    A bit map of the wanted keys' hashes, whose size is FILTER_BITS whatever is wanted, goes to all
+    tasks and keeps other texts out of the shuffle; which sets are the wanted ones their ids decide.
+    """
+    slot = F.xxhash64("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    word, bit = F.shiftright("slot", 6), F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    asked = wanted.select(F.col("smallest").alias("key")).withColumn("slot", slot)
+    bits = asked.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    chosen = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    chosen = chosen.withColumn("slot", slot).withColumn("word", word)
+    chosen = chosen.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+    sets = _sets(chosen, "text", "key", width, ["set_id", "members"])
+    found = sets.join(wanted.select("set_id", "rep"), "set_id")
+    # several texts have the set, for example those without a key
+    return written(found.groupBy("rep").agg(F.first("members").alias("members")), "sets")
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            similar = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                similar.append(100 * common >= least * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(similar, pa.bool_()))
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are that similar."""
     left = sets.select(F.col("rep").alias("a"), F.col("members").alias("left"))
     right = sets.select(F.col("rep").alias("b"), F.col("members").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(kept, "a long, b long")
+    common = F.size(F.array_intersect("left", "right"))
+    union = F.size("left") + F.size("right") - F.col("common")
+    both = pairs.join(left, "a").join(right, "b").withColumn("common", common)
+    return both.where(100 * F.col("common") >= least * union).select("a", "b")
 
 
 def _pair(x: Column, y: Column) -> list[Column]:
@@ -182,81 +202,130 @@ def _around_pivots(postings: DataFrame, number: int, least: int) -> DataFrame:
     )
 
 
-def _chunk_pairs(matches: int, least: int):
-    """From rows of two lists of (rep, size, label, signature): pairs of other components that have
-    enough matches and sizes that allow a link; within the first list where the second is empty."""
+class _Chunks:
+    """The rows of two chunks of a list, or of one (all of side 0), and their candidate pairs."""
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for x, y in zip(batch.column(0), batch.column(1), strict=True):
-                rep, size, label, sig = _columns(x)
-                others = _columns(y) if len(y) else (rep, size, label, sig)
-                for i in range(len(rep)):
-                    first = 0 if len(y) else i + 1
-                    to, big, name, far = (column[first:] for column in others)
-                    near = (name != label[i]) & (
-                        100 * np.minimum(big, size[i]) >= least * np.maximum(big, size[i])
-                    )
-                    near = np.flatnonzero(near)
-                    near = near[(far[near] == sig[i]).sum(axis=1) >= matches]
-                    out.append((np.full(len(near), rep[i]), to[near]))
-            a = np.concatenate([p[0] for p in out])
-            b = np.concatenate([p[1] for p in out])
-            columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+    def __init__(self, token: int, rows: pa.Table, matches: int, least: int):
+        self.side, self.rep, self.size, self.label, mask = (
+            rows.column(c).to_numpy() for c in ("side", "rep", "size", "label", "mask")
+        )
+        sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32)
+        self.sig = sig.reshape(-1, COORDINATES)
+        bits = np.unpackbits(mask.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        self.owned = bits.astype(bool)
+        self.coordinate, self.matches, self.least = token >> 32, matches, least
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Per row of the first side its partners: of another component, of a size and with matches
+        that allow a link, and with no earlier coordinate whose list holds both."""
+        inner = not self.side.any()
+        to = np.arange(len(self.rep)) if inner else np.flatnonzero(self.side == 1)
+        for i in np.flatnonzero(self.side == 0).tolist():
+            j = to[to > i] if inner else to
+            small, large = np.minimum(self.size[j], self.size[i]), np.maximum(self.size[j], self.size[i])
+            j = j[(self.label[j] != self.label[i]) & (100 * small >= self.least * large)]
+            same = self.sig[j] == self.sig[i]
+            enough = same.sum(axis=1) >= self.matches
+            j, same = j[enough], same[enough]
+            if len(j):
+                first = np.argmax(same & self.owned[j] & self.owned[i], axis=1)
+                j = j[first == self.coordinate]
+            if len(j):
+                yield i, j
+
+
+def _with_partners(matches: int, least: int):
+    """The rows that have a candidate pair in these chunks."""
+
+    def found(key: tuple, rows: pa.Table) -> pa.Table:
+        chunks = _Chunks(key[0].as_py(), rows, matches, least)
+        used = np.zeros(rows.num_rows, bool)
+        for i, j in chunks.pairs():
+            used[i] = used[j] = True
+        return rows.filter(pa.array(used))
 
     return found
 
 
-def _columns(items: pa.ListScalar) -> tuple[np.ndarray, ...]:
-    values = items.values
-    numbers = [values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
-    sig = np.frombuffer(b"".join(values.field(3).to_pylist()), np.uint32)
-    return (*numbers, sig.reshape(-1, COORDINATES))
+def _compare(matches: int, least: int):
+    """The links between different components in these chunks, by whole sets; what a link has joined
+    in this task is not compared again."""
+
+    def compared(key: tuple, rows: pa.Table) -> pa.Table:
+        chunks = _Chunks(key[0].as_py(), rows, matches, least)
+        members = rows.column("members").combine_chunks()
+        ends, flat = members.offsets.to_numpy(), members.values.to_numpy()
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        links = []
+        for i, partners in chunks.pairs():
+            for j in partners.tolist():
+                a, b = top(int(chunks.label[i])), top(int(chunks.label[j]))
+                if a == b:
+                    continue
+                x, y = flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= least * (len(x) + len(y) - common):
+                    root[max(a, b)] = min(a, b)
+                    links.append((int(chunks.rep[i]), int(chunks.rep[j])))
+        columns = [pa.array([link[n] for link in links], pa.int64()) for n in range(2)]
+        return pa.table(columns, names=["a", "b"])
+
+    return compared
 
 
 def _left_over(
-    postings: DataFrame, classes: DataFrame, matches: int, least: int, chunk: int, shortest: int
+    postings: DataFrame,
+    alive: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    matches: int,
+    least: int,
+    chunk: int,
+    shortest: int,
 ) -> DataFrame:
-    """Pairs of different components in one list of that many, whose signatures match."""
+    """Links between components whose classes share a list of that many; fetch gives whole sets."""
     mixed = postings.groupBy("token").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
     )
     mixed = written(mixed.where(f"low <> high AND n >= {shortest}").select("token"), "mixed")
     open_lists = written(postings.join(mixed, "token"), "open-lists")
+    bit = F.expr("shiftleft(1L, cast(token >> 32 as int))")
+    masks = postings.groupBy("rep").agg(F.bit_or(bit).alias("mask"))
+    payload = alive.select("rep", "signature").join(masks, "rep")
+
     placed = numbered(open_lists, "token", ["label", "size", "rep"], "placed").drop("held")
-    item = F.struct("rep", "size", "label", "signature")
     number = F.floor(F.col("position") / chunk).cast("long")
-    chunks = (
-        placed.join(classes.select("rep", "signature"), "rep")
-        .groupBy("token", number.alias("chunk"))
-        .agg(
-            F.collect_list(item).alias("items"),
-            *[f(c).alias(f"{n}_{c}") for c in ("label", "size") for n, f in (("low", F.min), ("high", F.max))],
-        )
+    placed = placed.withColumn("chunk", number).select("token", "chunk", "rep", "size", "label")
+    spans = placed.groupBy("token", "chunk").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("label", "size") for n, f in (("low", F.min), ("high", F.max))]
     )
-    chunks = written(chunks, "chunks")
-    search, schema = _chunk_pairs(matches, least), "a long, b long"
-    none = F.slice("items", 1, 0).alias("others")
-    inside = chunks.where("low_label <> high_label").select("items", none).mapInArrow(search, schema)
-
-    thin = chunks.drop("items")
-    other = thin.select("token", *[F.col(c).alias(f"{c}_b") for c in thin.columns if c != "token"])
+    spans = written(spans, "spans")
+    other = spans.select("token", *[F.col(c).alias(f"{c}_b") for c in spans.columns if c != "token"])
     close = (
-        thin.join(other, "token")
-        .where("chunk < chunk_b AND (low_label <> high_label_b OR high_label <> low_label_b)")
+        spans.join(other, "token")
+        .where("chunk <= chunk_b AND (low_label <> high_label_b OR high_label <> low_label_b)")
         .where(f"100 * high_size >= {least} * low_size_b AND 100 * high_size_b >= {least} * low_size")
-        .select("token", "chunk", "chunk_b")
+        .select("token", F.col("chunk").alias("first"), F.col("chunk_b").alias("second"))
     )
-    items_b = chunks.select("token", F.col("chunk").alias("chunk_b"), F.col("items").alias("others"))
-    across = (
-        close.join(chunks.select("token", "chunk", "items"), ["token", "chunk"])
-        .join(items_b, ["token", "chunk_b"])
-        .select("items", "others")
-        .mapInArrow(search, schema)
+    first = close.select("*", F.lit(0).alias("side"), F.col("first").alias("chunk"))
+    second = close.where("first < second").select(
+        "*", F.lit(1).alias("side"), F.col("second").alias("chunk")
     )
-    return inside.unionByName(across).distinct()
+    sent = placed.join(first.unionByName(second), ["token", "chunk"]).join(payload, "rep")
+    group = ["token", "first", "second"]
+    columns = [*group, "side", "rep", "size", "label", "mask", "signature"]
+    sent = sent.select(*columns)
+    # signatures first: whole sets are only sent where they are to be compared
+    asked = sent.groupBy(*group).applyInArrow(_with_partners(matches, least), sent.schema)
+    asked = written(asked, "asked")
+    wanted = written(alive.join(asked.select("rep").distinct(), "rep", "left_semi"), "wanted")
+    with_sets = asked.join(fetch(wanted), "rep").select(*columns, "members")
+    return with_sets.groupBy(*group).applyInArrow(_compare(matches, least), "a long, b long")
 
 
 def near_duplicates(
@@ -295,7 +364,16 @@ def near_duplicates(
     lists = written(_prefixes(classes, matches), "lists")
     alive = lists.select("rep").distinct()
     alive = written(classes.join(alive, "rep", "left_semi"), "alive")
-    sets = _whole_sets(documents, alive, key, text, width)
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        return _whole_sets(documents, wanted, key, text, width)
+
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = written(_matching(pairs, alive, matches), "matching")
+        named = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        wanted = written(alive.join(named, "rep", "left_semi"), "wanted")
+        return _confirmed(pairs, fetch(wanted), least)
+
     lists = written(lists.join(alive.select("rep", "size"), "rep"), "postings")
 
     found = alive.select(F.col("rep").alias("a"), F.col("rep").alias("b")).where("false")
@@ -304,9 +382,7 @@ def near_duplicates(
     for number in range(pivots):
         postings = written(lists.join(labels, "rep"), "labelled")
         pairs = written(_around_pivots(postings, number, least), "pivot-pairs")
-        pairs = written(_matching(pairs, alive, matches), "matching")
-        more = written(_confirmed(pairs, sets, least), "links")
-        found = written(found.unionByName(more), "found")
+        found = written(found.unionByName(links(pairs)), "found")
         labels = written(_labels(alive, found), "labels")
         left = labels.select("label").distinct().count()
         united, before = before - left, left
@@ -314,8 +390,7 @@ def near_duplicates(
             break
     postings = written(lists.join(labels, "rep"), "labelled")
     shortest = 3 if pivots else 2  # a list of two has been compared with its pivot
-    pairs = written(_left_over(postings, alive, matches, least, chunk, shortest), "left-over")
-    more = _confirmed(pairs, sets, least)
+    more = _left_over(postings, alive, fetch, matches, least, chunk, shortest)
     roots = components(found.unionByName(more))
 
     placed = classes.join(roots, classes["rep"] == roots["node"], "left").select(
@@ -337,17 +412,3 @@ def _labels(alive: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(links)
     joined = alive.select("rep").join(roots, F.col("rep") == roots["node"], "left")
     return joined.select("rep", F.coalesce("root", "rep").alias("label"))
-
-
-def _whole_sets(
-    documents: DataFrame, alive: DataFrame, key: str, text: str, width: int
-) -> DataFrame:
-    """(rep, members) of the classes, from the texts of their smallest keys."""
-    wanted = alive.select(F.col("smallest").alias("wanted")).distinct()
-    chosen = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    chosen = chosen.join(wanted, F.col("key").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = _sets(chosen, "text", "key", width, ["set_id", "members"])
-    found = sets.join(alive.select("set_id", "rep"), "set_id")
-    # rows of one key, or without one, may hold a set more than once
-    return written(found.groupBy("rep").agg(F.first("members").alias("members")), "sets")
-
