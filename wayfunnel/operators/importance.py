@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfunnel.operators.curves import score_counts, score_curve
 from wayfunnel.settings import FEATURES, TARGET
+from wayfunnel.sources.workarea import shared_folder
 
 NOTHING = "(none)"
 RANK_DIGITS = 4  # rows are ranked in 65,536 hash cells
+GROUP_CELLS = 1024
 BASE = -1  # the round that holds the unchanged order
 
 
@@ -49,35 +53,51 @@ def shuffled_positions(rows: DataFrame, repeats: int, seed: int, key: str) -> Da
     )
 
 
-def permuted_rows(rows: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
-    """Every row once unchanged (feature ``NOTHING``) and once per feature and repeat, with that
-    feature taken from another row. All features of a repeat share one permutation."""
+def with_donors(rows: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
+    """Every row once, with ``donors``: per repeat the features of the row whose place it takes.
+    All features of a repeat share one permutation."""
     placed = shuffled_positions(rows.select(key, TARGET, *FEATURES), repeats, seed, key)
     base = placed.where(F.col("repeat") == BASE).drop("repeat")
-    donors = placed.where(F.col("repeat") != BASE).select(
-        "repeat", "position", F.struct(*FEATURES).alias("donor")
+    donor = F.struct("repeat", F.struct(*FEATURES).alias("donor"))
+    donors = (
+        placed.where(F.col("repeat") != BASE)
+        .groupBy("position")
+        .agg(F.sort_array(F.collect_list(donor))["donor"].alias("donors"))
     )
-    features = F.explode(F.array(*[F.lit(f) for f in FEATURES])).alias("feature")
-    paired = base.join(donors, "position").select("*", features)
+    return base.join(donors, "position").drop("position")
 
-    def pick(name: str) -> Column:
-        return F.when(F.col("feature") == name, F.col(f"donor.{name}")).otherwise(F.col(name))
 
-    kept = [key, TARGET]
-    permuted = paired.select(
-        "feature", "repeat", *kept, *[pick(name).alias(name) for name in FEATURES]
+def swapped_rows(paired: DataFrame, name: str, key: str = "search_id") -> DataFrame:
+    """Every row once per repeat, with this one feature of its donor."""
+    values = F.transform("donors", lambda donor: donor[name])
+    return paired.select("*", F.posexplode(values).alias("repeat", "_swapped")).select(
+        "repeat", key, TARGET, *[F.col("_swapped" if f == name else f).alias(f) for f in FEATURES]
     )
-    unchanged = base.select(
-        F.lit(NOTHING).alias("feature"), F.lit(0).alias("repeat"), *kept, *FEATURES
+
+
+def passes(paired: DataFrame, key: str = "search_id") -> dict[str, DataFrame]:
+    """The rows of every pass by the feature that it swaps, and unchanged under ``NOTHING``."""
+    unchanged = paired.select(F.lit(0).alias("repeat"), key, TARGET, *FEATURES)
+    return {NOTHING: unchanged} | {name: swapped_rows(paired, name, key) for name in FEATURES}
+
+
+def permuted_rows(rows: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
+    """The rows of all passes, with the feature that each swaps."""
+    named = passes(with_donors(rows, repeats, seed, key), key).items()
+    return reduce(
+        DataFrame.unionByName, [part.select(F.lit(f).alias("feature"), "*") for f, part in named]
     )
-    return permuted.unionByName(unchanged)
 
 
 def grouped_average_precision(
     scored: DataFrame, by: tuple[str, ...], score: str = "score", label: str = TARGET
 ) -> DataFrame:
-    """Step-wise average precision per group of any size, from the grouped ranked curve."""
-    curve = score_curve(score_counts(scored, score, label, by), by=by)
+    """Step-wise average precision per group of any size, from the grouped ranked curve.
+
+    A group is cut into fewer cells than a single ranking, so that the cells of all groups stay
+    small beside their rows.
+    """
+    curve = score_curve(score_counts(scored, score, label, by), GROUP_CELLS, by)
     steps = F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n")))
     return curve.groupBy(*by).agg(
         (steps / F.nullif(F.sum("pos"), F.lit(0))).alias("average_precision")
@@ -93,11 +113,24 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, importance_mean, importance_std) over the repeats, population deviation.
 
-    ``score_rows`` adds a ``score`` column, for example ``model.transform`` plus a projection. It
-    is called once, on all permuted rows together: every row of the frame takes part.
+    ``score_rows`` adds a ``score`` column, for example ``model.transform`` plus a projection. Rows
+    are paired with their donors once and written; each feature is then a pass of its own over that
+    table, which reads the row's features and one column of its donors, and shuffles no more than
+    counts per score. Every row of the frame takes part.
     """
-    scored = score_rows(permuted_rows(frame, repeats, seed, key))
-    precision = grouped_average_precision(scored, ("feature", "repeat"))
+    spark = frame.sparkSession
+    place = f"{shared_folder(spark)}/wayfunnel-{spark.sparkContext.applicationId}"
+    path = f"{place}/importance-{uuid.uuid4().hex}"
+    paired = with_donors(frame, repeats, seed, key)
+    paired.write.parquet(path)
+    paired = spark.read.schema(paired.schema).parquet(path)
+
+    scored = [
+        score_rows(rows).select(F.lit(feature).alias("feature"), "repeat", TARGET, "score")
+        for feature, rows in passes(paired, key).items()
+    ]
+    everything = reduce(DataFrame.unionByName, scored)
+    precision = grouped_average_precision(everything, ("feature", "repeat"))
     # one row per feature and repeat: the unchanged rows' value goes to all of them
     baseline = F.max(
         F.when(F.col("feature") == NOTHING, F.col("average_precision"))
