@@ -7,7 +7,6 @@ mart that reads it gets column pruning and filter pushdown from Parquet.
 from __future__ import annotations
 
 import hashlib
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +16,10 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names. If it names none, one set earlier on the context or, on a
-    local master only, a new temporary one."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder the session names. If it names none, one set earlier on the context, or one in the
+    warehouse folder, which all executors reach as well."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
