@@ -233,6 +233,8 @@ def detect(
 
     A text that is null or has no letter is 'und' with score 0 and an empty mixture, as is every
     text if nothing could be learnt. Equal proportions go to the first language in the alphabet.
+    Repeated rows are told each. Carried columns must not have one of the `names`; others are
+    neither read nor returned.
     """
 
     def work(texts: list[str | None]) -> list[pa.Array]:

@@ -138,6 +138,8 @@ def count_tokens(
     """The carried columns, n_bytes (UTF-8), n_tokens, over_limit (more than `limit` tokens).
 
     Tokens are those of the library without begin and end; null counts as empty, with 0 tokens.
+    Repeated rows are counted each. Carried columns must not be called n_bytes, n_tokens or
+    over_limit; others are neither read nor returned.
     """
     state: list = []
 
