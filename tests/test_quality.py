@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wayfunnel.operators import features, quality, staging
 from wayfunnel.plans.warehouse import build_funnel
+from wayfunnel.schemas import CONTRACT
 from wayfunnel.settings import SplitDates
 
 
@@ -129,3 +130,21 @@ def test_alert_reconciliation(spark):
     days = spark.range(2)
     assert one(quality.alert_reconciliation(summary, days))["violations"] == 0
     assert one(quality.alert_reconciliation(summary, days.limit(1)))["violations"] == 1
+
+
+def test_every_declared_foreign_key_is_checked(small):
+    raw = staging.stage_all(small)
+    report = {
+        (r["table_name"], r["column_name"]): (r["parent_table"], r["row_count"], r["null_keys"], r["orphans"])
+        for r in quality.foreign_key_report(raw).collect()
+    }
+    assert len(report) == sum(len(d.foreign_keys) for d in CONTRACT.values()) == 7
+    assert report["searches", "session_id"] == ("sessions", 5, 0, 1)
+    assert report["checkout", "session_id"] == ("sessions", 3, 0, 0)
+    # the bookings carry a session that is not there
+    assert report["bookings", "session_id"] == ("sessions", 2, 0, 2)
+    lost = raw | {"bookings": raw["bookings"].withColumn("checkout_id", F.lit(None).cast("string"))}
+    checks = {r["check"]: r["violations"] for r in quality.foreign_key_checks(lost).collect()}
+    assert checks["orphan_bookings_checkout_id"] == 2 and checks["orphan_bookings_search_id"] == 0
+    with pytest.raises(quality.QualityError, match="orphan_searches_session_id"):
+        quality.run_checks(quality.foreign_key_checks(raw))
