@@ -376,25 +376,22 @@ def near_duplicates(
 
     lists = written(lists.join(alive.select("rep", "size"), "rep"), "postings")
 
-    found = alive.select(F.col("rep").alias("a"), F.col("rep").alias("b")).where("false")
     labels = alive.select("rep", F.col("rep").alias("label"))
     before = alive.count()
     for number in range(pivots):
         postings = written(lists.join(labels, "rep"), "labelled")
         pairs = written(_around_pivots(postings, number, least), "pivot-pairs")
-        found = written(found.unionByName(links(pairs)), "found")
-        labels = written(_labels(alive, found), "labels")
-        left = labels.select("label").distinct().count()
-        united, before = before - left, left
+        labels, united = _merged(labels, links(pairs))
+        before -= united
         if united * 100 < before:
             break
     postings = written(lists.join(labels, "rep"), "labelled")
     shortest = 3 if pivots else 2  # a list of two has been compared with its pivot
     more = _left_over(postings, alive, fetch, matches, least, chunk, shortest)
-    roots = components(found.unionByName(more))
+    labels, _ = _merged(labels, more)
 
-    placed = classes.join(roots, classes["rep"] == roots["node"], "left").select(
-        "set_id", "smallest", F.coalesce("root", "rep").alias("root")
+    placed = classes.join(labels, "rep", "left").select(
+        "set_id", "smallest", F.coalesce("label", "rep").alias("root")
     )
     placed = written(placed, "placed")
     smallest = written(placed.groupBy("root").agg(F.min("smallest").alias("component_id")), "smallest")
@@ -408,7 +405,16 @@ def near_duplicates(
     )
 
 
-def _labels(alive: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    joined = alive.select("rep").join(roots, F.col("rep") == roots["node"], "left")
-    return joined.select("rep", F.coalesce("root", "rep").alias("label"))
+def _merged(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """The labels (rep, label) after these links, and how many components went into others.
+
+    Only components that a link touches are merged; the links between them are the graph.
+    """
+    a, b = (labels.select(F.col("rep").alias(n), F.col("label").alias(f"of_{n}")) for n in "ab")
+    between = links.join(a, "a").join(b, "b").where("of_a <> of_b")
+    roots = written(
+        components(between.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "roots"
+    )
+    joined = labels.join(roots, labels["label"] == roots["node"], "left")
+    merged = joined.select("rep", F.coalesce("root", "label").alias("label"))
+    return written(merged, "labels"), roots.where("node <> root").count()
