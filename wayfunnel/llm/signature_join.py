@@ -31,7 +31,7 @@ from wayfunnel.llm.components import components
 
 COORDINATES, MATCHES = 64, 34
 LEAST = 80  # per cent of the union that two sets share
-CHUNK = 128
+CHUNK = 1024
 FILTER_BITS = 1 << 24  # at most 262,144 words of 64 bits are broadcast
 _KEPT_WORDS = 1_000_000
 
