@@ -1,10 +1,13 @@
 """Histogram boosting against a plain implementation, and its parts on awkward inputs."""
 
 import json
+import subprocess
+import sys
 from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -155,3 +158,28 @@ def test_the_two_feature_tree_has_three_leaves(j):
     model = two_feature_fit(j).stages[-1]
     (tree,) = json.loads(model.getOrDefault(model.ensemble))["trees"]
     assert tree["left"].count(-1) == 3
+
+
+@pytest.mark.parametrize("few_files", [0, 64])
+def test_sums_are_shuffled_only_from_many_files(spark, monkeypatch, few_files):
+    x, y = made_up(900, 2)
+    rows = frame(spark, x, y)
+    monkeypatch.setattr(boosting, "FEW_FILES", few_files)
+    params = replace(SMALL, local_rows=0)
+    grouped = []
+    real = type(rows).groupBy
+    with monkeypatch.context() as patch:
+        patch.setattr(
+            type(rows), "groupBy", lambda f, *c: (grouped.append(c), real(f, *c))[1]
+        )
+        model = fit(rows, params)
+    assert (("cell",) in grouped) == (few_files == 0)
+    assert np.abs(scores(model, rows) - plain(x, y, params)).max() < 1e-5
+
+
+def test_workers_need_not_have_the_library():
+    made = cloudpickle.dumps(replace(SMALL, rounds=7))
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer).rounds)"
+    alone = [sys.executable, "-I", "-c", code]
+    done = subprocess.run(alone, input=made, capture_output=True, cwd="/")
+    assert done.stdout.split() == [b"7"], done.stderr.decode()
