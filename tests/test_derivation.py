@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from fixtures import derive
+from fixtures import derive, registry
+from wayfunnel.operators import models
 from wayfunnel.sources import workarea
 
 
@@ -40,3 +41,17 @@ def test_written_tables_have_partitions_for_their_input(spark):
         assert area.table("t", lambda: area.table("inner", build).select("*")).count() == 3
         assert spark.conf.get(name) == before
     assert seen == [before, "51"]
+
+
+def test_candidates_share_one_preparation_and_codes_need_no_more(j, monkeypatch):
+    for cached in (registry._preparation, registry._encoding, registry.candidate):
+        cached.cache_clear()
+    fitted, real = [], models.fit_preparation
+    monkeypatch.setattr(models, "fit_preparation", lambda rows: (fitted.append(1), real(rows))[1])
+    monkeypatch.setattr(models, "_encoding", lambda: 1 / 0)  # scaling is not for ordinal codes
+    codes = registry.queries()["ordinal_encoding"](j.spark, j.directory)
+    assert codes.count() == 18 * registry._splits(j)[1].count()
+    monkeypatch.setattr(models, "fit_histogram", lambda train, params, prepared: prepared)
+    model = registry.candidate(j, models.HISTOGRAM).model
+    assert model is registry._preparation(j) and fitted == [1]
+    registry.candidate.cache_clear()
