@@ -214,6 +214,36 @@ def test_positions_follow_the_hash_in_every_round(j):
     assert checked.where("position <> expected").count() == 0
 
 
+def test_a_pass_reads_one_feature_of_the_donors(j, tmp_path):
+    sample = j.dataset.orderBy("search_id").limit(50)
+    importance.with_donors(sample, repeats=2, seed=7).write.parquet(str(tmp_path / "paired"))
+    paired = sample.sparkSession.read.parquet(str(tmp_path / "paired"))
+    swapped = importance.swapped_rows(paired, "results_count").select("repeat", "results_count")
+    plan = swapped._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<donors:array<struct<results_count:int>>>" in plan
+
+
+def test_donors_are_found_block_by_block(j, monkeypatch):
+    """Blocks far smaller than a cell, and rows that are there twice."""
+    monkeypatch.setattr(importance, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(importance, "TASK_ROWS", 20)
+    monkeypatch.setattr(importance, "RANK_DIGITS", 1)
+    sample = j.dataset.orderBy("search_id").limit(150)
+    rows = sample.unionByName(sample.where("results_count = 2"))
+    placed = importance.shuffled_positions(rows, repeats=2, seed=7, key="search_id").cache()
+    expected = placed.where("repeat = -1").select("search_id", "position")
+    for r in range(2):
+        donor = placed.where(F.col("repeat") == r)
+        donor = donor.select("position", F.struct(*FEATURES).alias(f"donor_{r}"))
+        expected = expected.join(donor, "position")
+    found = importance.with_donors(rows, repeats=2, seed=7)
+    columns = ["search_id", "donors[0]", "donors[1]"]
+    pairs = found.select("search_id", F.col("donors")[0], F.col("donors")[1]).toDF(*columns)
+    assert sorted(map(repr, pairs.collect())) == sorted(
+        map(repr, expected.drop("position").toDF(*columns).collect())
+    )
+
+
 def test_nan_and_fractions_are_rejected(spark):
     assert errors(spark, search_latency_ms=float("nan")) == ["search_latency_ms: out of range"]
     assert errors(spark, search_latency_ms=0.5) == []

@@ -16,6 +16,8 @@ from wayfunnel.sources.workarea import shared_folder
 NOTHING = "(none)"
 RANK_DIGITS = 4  # rows are ranked in 65,536 hash cells
 GROUP_CELLS = 1024
+BLOCK_ROWS = 8192  # positions that are filled together
+TASK_ROWS = 100_000  # positions that a task fills, on average
 BASE = -1  # the round that holds the unchanged order
 
 
@@ -23,6 +25,30 @@ def _draw(key: str, *salt: object) -> Column:
     return F.md5(F.concat_ws(":", *[F.lit(str(s)) for s in salt], F.col(key)).cast("binary"))
 
 
+def _draws(rows: DataFrame, repeats: int, seed: int, key: str) -> DataFrame:
+    """Every row once per round, with its hash (``draw``) and the cell that it falls into (``spot``).
+
+    Rounds are ``BASE`` and 0 to ``repeats`` - 1. A cell is a round and the first digits of a hash.
+    """
+    rounds = F.explode(F.array(*[F.lit(r) for r in (BASE, *range(repeats))])).alias("repeat")
+    salted = F.when(F.col("repeat") == BASE, _draw(key, seed)).otherwise(
+        F.md5(F.concat_ws(":", F.lit(str(seed)), "repeat", key).cast("binary"))
+    )
+    cell = F.conv(F.substring("draw", 1, RANK_DIGITS), 16, 10).cast("bigint")
+    spot = (F.col("repeat") - BASE) * F.lit(16**RANK_DIGITS).cast("bigint")
+    spot += F.coalesce(cell, F.lit(0))  # never null, or a join would draw twice to test that
+    drawn = rows.select("*", rounds).withColumn("draw", salted).withColumn("spot", spot)
+    return drawn.withColumn("draw", F.unhex("draw"))
+
+
+def _offsets(drawn: DataFrame) -> DataFrame:
+    """(spot, held, offset): rows of a cell, and rows of its round in the cells before it."""
+    before = Window.partitionBy("repeat").orderBy("spot").rowsBetween(Window.unboundedPreceding, -1)
+    held = drawn.groupBy("repeat", "spot").agg(F.count(F.lit(1)).alias("held"))
+    offset = F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset")
+    return held.select("spot", "held", offset)
+
+
 def shuffled_positions(rows: DataFrame, repeats: int, seed: int, key: str) -> DataFrame:
     """Every row once per round, with its position from 1 in the round's random order.
 
@@ -30,47 +56,54 @@ def shuffled_positions(rows: DataFrame, repeats: int, seed: int, key: str) -> Da
     key. The first digits of the hash are a cell: cells are counted and numbered within, so that
     no task ever orders more than a cell.
     """
-    rounds = F.explode(F.array(*[F.lit(r) for r in (BASE, *range(repeats))])).alias("repeat")
-    salted = F.when(F.col("repeat") == BASE, _draw(key, seed)).otherwise(
-        F.md5(F.concat_ws(":", F.lit(str(seed)), "repeat", key).cast("binary"))
-    )
-    drawn = rows.select("*", rounds).withColumn("draw", salted)
-    celled = drawn.withColumn("cell", F.substring("draw", 1, RANK_DIGITS))
-    before = (
-        Window.partitionBy("repeat").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        celled.groupBy("repeat", "cell")
-        .count()
-        .select("repeat", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    )
-    inside = Window.partitionBy("repeat", "cell").orderBy("draw", key)
-    ranked = celled.withColumn("place", F.row_number().over(inside)).join(
-        offsets, ["repeat", "cell"]
-    )
+    drawn = _draws(rows, repeats, seed, key)
+    inside = Window.partitionBy("spot").orderBy("draw", key)
+    ranked = drawn.withColumn("place", F.row_number().over(inside)).join(_offsets(drawn), "spot")
     return ranked.withColumn("position", F.col("offset") + F.col("place")).drop(
-        "draw", "cell", "offset", "place"
+        "draw", "spot", "held", "offset", "place"
     )
 
 
 def with_donors(rows: DataFrame, repeats: int, seed: int, key: str = "search_id") -> DataFrame:
     """Every row once, with ``donors``: per repeat the features of the row whose place it takes.
-    All features of a repeat share one permutation."""
-    placed = shuffled_positions(rows.select(key, TARGET, *FEATURES), repeats, seed, key)
-    base = placed.where(F.col("repeat") == BASE).drop("repeat")
-    donor = F.struct("repeat", F.struct(*FEATURES).alias("donor"))
-    donors = (
-        placed.where(F.col("repeat") != BASE)
-        .groupBy("position")
-        .agg(F.sort_array(F.collect_list(donor))["donor"].alias("donors"))
+    All features of a repeat share one permutation.
+
+    The rows of all rounds that compete for a block of positions are sent to one task, which numbers
+    them and lays the rounds beside each other: the wide rows are shuffled once. A cell that crosses
+    the border of blocks is numbered in each of them; rows that tie in everything are alike. The
+    broadcast counts have at most a row per round and cell.
+    """
+    wide = rows.select(key, TARGET, F.struct(*FEATURES).alias("features"))
+    last = F.col("offset") + F.col("held") - 1
+    blocks = F.sequence(F.floor(F.col("offset") / BLOCK_ROWS), F.floor(last / BLOCK_ROWS))
+    dealt = (
+        _draws(wide, repeats, seed, key)
+        .join(F.broadcast(_offsets(_draws(rows.select(key), repeats, seed, key))), "spot")
+        .withColumn("block", F.explode(blocks))
+        .repartition(rows.count() // TASK_ROWS + 1, "block")
+    )
+    # the leading column of a sort is the one that tells most rows apart
+    inside = Window.partitionBy("spot", "block").orderBy("draw", key, TARGET, "features")
+    position = F.col("offset") + F.row_number().over(inside) - 1
+    numbered = (
+        dealt.withColumn("position", position)
+        .where(F.floor(F.col("position") / BLOCK_ROWS) == F.col("block"))
+        .select("block", "position", "repeat", key, TARGET, "features")
+    )
+    beside = Window.partitionBy("position", "block").orderBy("repeat")
+    donors = F.array(*[F.lead("features", r + 1).over(beside) for r in range(repeats)])
+    return (
+        numbered.withColumn("donors", donors)
+        .where(F.col("repeat") == BASE)
+        .select(key, TARGET, "features.*", "donors")
     )
-    return base.join(donors, "position").drop("position")
 
 
 def swapped_rows(paired: DataFrame, name: str, key: str = "search_id") -> DataFrame:
-    """Every row once per repeat, with this one feature of its donor."""
-    values = F.transform("donors", lambda donor: donor[name])
-    return paired.select("*", F.posexplode(values).alias("repeat", "_swapped")).select(
+    """Every row once per repeat, with this one feature of its donor. A field of an array of structs
+    is read alone, without the other features of the donors."""
+    values = F.posexplode(F.col("donors")[name]).alias("repeat", "_swapped")
+    return paired.select("*", values).select(
         "repeat", key, TARGET, *[F.col("_swapped" if f == name else f).alias(f) for f in FEATURES]
     )
 
@@ -125,12 +158,18 @@ def permutation_importance(
     paired.write.parquet(path)
     paired = spark.read.schema(paired.schema).parquet(path)
 
+    # a pass and repeat is one number, so that keys of the counts have a fixed width
+    all_passes = passes(paired, key)
     scored = [
-        score_rows(rows).select(F.lit(feature).alias("feature"), "repeat", TARGET, "score")
-        for feature, rows in passes(paired, key).items()
+        score_rows(rows).select(
+            (F.lit(i * repeats) + F.col("repeat")).cast("int").alias("part"), TARGET, "score"
+        )
+        for i, rows in enumerate(all_passes.values())
     ]
     everything = reduce(DataFrame.unionByName, scored)
-    precision = grouped_average_precision(everything, ("feature", "repeat"))
+    names = F.array(*map(F.lit, all_passes))
+    feature = F.element_at(names, (F.floor(F.col("part") / repeats) + 1).cast("int"))
+    precision = grouped_average_precision(everything, ("part",)).withColumn("feature", feature)
     # one row per feature and repeat: the unchanged rows' value goes to all of them
     baseline = F.max(
         F.when(F.col("feature") == NOTHING, F.col("average_precision"))
