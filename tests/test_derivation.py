@@ -28,6 +28,32 @@ def test_the_offsets_of_cells_are_those_of_large_orders_only(spark, j, monkeypat
     assert plain.exceptAll(derive.options(lineitem, j.base)).isEmpty()
 
 
+def test_lines_are_shuffled_once_where_no_order_is_large(spark, j, monkeypatch):
+    lineitem = derive.given(spark, j.directory, "lineitem")
+    fresh = derive.Journey(spark, j.directory, "fresh")
+    built = {}
+    monkeypatch.setattr(fresh.area, "table", lambda name, build: built.setdefault(name, build()))
+    plan = fresh.options._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") > 0 and "LeftAnti" not in plan and "LeftSemi" not in plan
+    assert sorted(fresh.options.collect()) == sorted(derive.options(lineitem, j.base).collect())
+    built.clear()
+    monkeypatch.setattr(derive, "WHOLE_LINES", 3)
+    assert "LeftAnti" in fresh.options._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_orders_are_told_from_full_buckets(spark, monkeypatch):
+    def lines(*orders):
+        columns = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag"]
+        rows = spark.createDataFrame([(k, q) for k, q in orders], "l_orderkey long, l_quantity double")
+        return rows.select("*", *[F.lit(1).alias(c) for c in columns], F.lit(0).alias("l_shipdate"))
+
+    monkeypatch.setattr(derive, "WHOLE_LINES", 2)
+    monkeypatch.setattr(derive, "ORDER_BUCKETS", 1)
+    assert not derive.has_large_orders(lines((1, 20.0), (2, 20.0), (2, 20.0), (3, 20.0)))
+    assert not derive.has_large_orders(lines((1, 20.0), (1, 20.0), (1, 5.0)))
+    assert derive.has_large_orders(lines((1, 20.0), (2, 20.0), (2, 20.0), (2, 20.0)))
+
+
 def test_written_tables_have_partitions_for_their_input(spark):
     name = workarea.SHUFFLE_PARTITIONS
     before, seen = spark.conf.get(name), []
