@@ -214,6 +214,14 @@ def test_positions_follow_the_hash_in_every_round(j):
     assert checked.where("position <> expected").count() == 0
 
 
+def test_ranking_the_passes_does_not_plan_them_again(j):
+    sample = j.dataset.orderBy("search_id").limit(50)
+    scored = lambda rows: rows.withColumn("score", 0.2 + 0.5 * F.col("railcard_used"))
+    table = importance.permutation_importance(sample, scored, repeats=1)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan and "Union" not in plan and "donors" not in plan
+
+
 def test_a_pass_reads_one_feature_of_the_donors(j, tmp_path):
     sample = j.dataset.orderBy("search_id").limit(50)
     importance.with_donors(sample, repeats=2, seed=7).write.parquet(str(tmp_path / "paired"))

@@ -130,7 +130,11 @@ def grouped_average_precision(
     A group is cut into fewer cells than a single ranking, so that the cells of all groups stay
     small beside their rows.
     """
-    curve = score_curve(score_counts(scored, score, label, by), GROUP_CELLS, by)
+    return _average_precision(score_counts(scored, score, label, by), by)
+
+
+def _average_precision(counts: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    curve = score_curve(counts, GROUP_CELLS, by)
     steps = F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n")))
     return curve.groupBy(*by).agg(
         (steps / F.nullif(F.sum("pos"), F.lit(0))).alias("average_precision")
@@ -149,15 +153,19 @@ def permutation_importance(
     ``score_rows`` adds a ``score`` column, for example ``model.transform`` plus a projection. Rows
     are paired with their donors once and written; each feature is then a pass of its own over that
     table, which reads the row's features and one column of its donors, and shuffles no more than
-    counts per score. Every row of the frame takes part.
+    counts per score. These are written as well: ranking refers to them many times, and a plan that
+    held all passes as often would take longer to make than to run. Every row of the frame takes
+    part.
     """
     spark = frame.sparkSession
     place = f"{shared_folder(spark)}/wayfunnel-{spark.sparkContext.applicationId}"
     path = f"{place}/importance-{uuid.uuid4().hex}"
-    paired = with_donors(frame, repeats, seed, key)
-    paired.write.parquet(path)
-    paired = spark.read.schema(paired.schema).parquet(path)
 
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    paired = written(with_donors(frame, repeats, seed, key), "paired")
     # a pass and repeat is one number, so that keys of the counts have a fixed width
     all_passes = passes(paired, key)
     scored = [
@@ -167,9 +175,10 @@ def permutation_importance(
         for i, rows in enumerate(all_passes.values())
     ]
     everything = reduce(DataFrame.unionByName, scored)
+    counts = written(score_counts(everything, by=("part",), label=TARGET), "counts")
     names = F.array(*map(F.lit, all_passes))
     feature = F.element_at(names, (F.floor(F.col("part") / repeats) + 1).cast("int"))
-    precision = grouped_average_precision(everything, ("part",)).withColumn("feature", feature)
+    precision = _average_precision(counts, ("part",)).withColumn("feature", feature)
     # one row per feature and repeat: the unchanged rows' value goes to all of them
     baseline = F.max(
         F.when(F.col("feature") == NOTHING, F.col("average_precision"))
