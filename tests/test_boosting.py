@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fixtures.derive import SPLIT
 from fixtures.registry import two_feature_fit
-from wayfunnel.operators import boosting, evaluation, features, models
+from wayfunnel.operators import boosting, evaluation, features, models, row_blocks
 from wayfunnel.settings import CATEGORICAL_FEATURES, TARGET, HistogramBoostingParams, ModelParams
 
 SMALL = HistogramBoostingParams(rounds=3, max_leaves=6, min_rows_per_leaf=5, step_size=0.5)
@@ -183,3 +183,66 @@ def test_workers_need_not_have_the_library():
     alone = [sys.executable, "-I", "-c", code]
     done = subprocess.run(alone, input=made, capture_output=True, cwd="/")
     assert done.stdout.split() == [b"7"], done.stderr.decode()
+
+
+@pytest.mark.parametrize("local_rows", [0, 500])
+def test_a_tree_takes_a_pass_a_level_and_one_shuffle_for_the_subtrees(spark, monkeypatch, local_rows):
+    x, y = made_up(4000, 6)
+    calls = []
+    for name in ("_sums", "_subtrees"):
+        real = getattr(boosting, name)
+        counted = lambda *a, real=real, name=name: (calls.append(name), real(*a))[1]
+        monkeypatch.setattr(boosting, name, counted)
+    params = replace(SMALL, rounds=1, max_leaves=15, local_rows=local_rows)
+    model = fit(frame(spark, x, y), params)
+    (tree,) = json.loads(model.getOrDefault("ensemble"))["trees"]
+    assert tree["left"].count(-1) == 15
+    assert calls.count("_subtrees") == (local_rows > 0)
+    assert calls.count("_sums") <= boosting.Tree.from_lists(tree).depth + (local_rows == 0)
+    assert np.abs(scores(model, frame(spark, x, y)) - plain(x, y, params)).max() < 1e-5
+
+
+def test_boxes_hold_the_rows_of_their_nodes():
+    draw = np.random.default_rng(3)
+    widths = [4, 200, 2, 5]
+    packing = boosting.Packing(widths)
+    bins = np.stack([draw.integers(0, w, 3000) for w in widths]).astype(np.uint8)
+    tree = boosting.Tree(
+        *map(
+            np.array,
+            (
+                [1, 0, 3, -1, 1, -1, -1, -1, -1],
+                [90, 1, 2, -1, 40, -1, -1, -1, -1],
+                [1, 3, 5, -1, 7, -1, -1, -1, -1],
+                [2, 4, 6, -1, 8, -1, -1, -1, -1],
+                [0.0, 0, 0, 1, 0, 2, 3, 4, 5],
+            ),
+        )
+    )
+    assert tree.depth == 3
+    at = []
+    for row in bins.T:
+        node = 0
+        while tree.left[node] >= 0:
+            goes_left = row[tree.feature[node]] <= tree.bin[node]
+            node = (tree.left if goes_left else tree.right)[node]
+        at.append(node)
+    assert np.allclose(boosting.margins(bins, [(tree, 3)], 0.5), 0.5 + tree.value[at])
+    values = packing.packed(bins.T)
+    for node, box in zip((3, 7, 8, 5, 6), boosting._boxes(packing, tree, [3, 7, 8, 5, 6]), strict=True):
+        rows = boosting._inside(box, values, 2500)
+        assert rows.tolist() == np.flatnonzero(np.array(at[:2500]) == node).tolist()
+
+
+def test_rows_are_cut_into_blocks_whatever_the_batches(spark, monkeypatch):
+    x, y = made_up(700, 8)
+    rows = frame(spark, x, y)
+    whole = fit(rows, SMALL, F.col("id") % 5 == 0).getOrDefault("ensemble")
+    monkeypatch.setattr(row_blocks, "BLOCK_ROWS", 33)
+    assert fit(rows, SMALL, F.col("id") % 5 == 0).getOrDefault("ensemble") == whole
+
+
+def test_a_row_without_a_label_is_an_error(spark):
+    rows = frame(spark, *made_up(60, 4)).withColumn("y", F.expr("if(id = 7, null, y)"))
+    with pytest.raises(Exception, match="no label"):
+        fit(rows, SMALL)
